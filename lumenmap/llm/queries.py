@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import compression_classifier, quality_rules, transport_stream
+from . import compression_classifier, packing, quality_rules, record_output, transport_stream
 from .common import table
 
 
+def tokenizer_path(name: str) -> str:
+    return public_tokenizers.path(name)
+
+
 def op1_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -16,9 +21,17 @@ def op5_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transport_stream.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_record_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return record_output.output(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.check_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_compression_classifier, op5_transport_stream, op9_quality_rules)}
+def op10_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2)
+
+
+QUERIES = {f.__name__: f for f in (op1_compression_classifier, op5_transport_stream, op7_record_output, op9_quality_rules, op10_hilbert_packing)}
 ORACLE_SQL: dict[str, str] = {}
