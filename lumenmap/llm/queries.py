@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import compression_classifier, packing, quality_rules, record_output, simhash, transport_stream
+from . import brown_lm, compression_classifier, packing, quality_rules, record_output, simhash, transport_stream
 from .common import table
 
 
@@ -29,6 +29,10 @@ def op7_record_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_output.output(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0)
 
 
+def op8_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.check_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,5 +41,5 @@ def op10_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_compression_classifier, op4_simhash_near_dedup, op5_transport_stream, op7_record_output, op9_quality_rules, op10_hilbert_packing)}
+QUERIES = {f.__name__: f for f in (op1_compression_classifier, op4_simhash_near_dedup, op5_transport_stream, op7_record_output, op8_brown_lm, op9_quality_rules, op10_hilbert_packing)}
 ORACLE_SQL: dict[str, str] = {}
