@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown_lm, compression_classifier, packing, quality_rules, record_output, simhash, transport_stream
+from . import brown_lm, compression_classifier, packing, quality_rules, record_output, simhash, suffix_dedup, transport_stream
 from .common import table
 
 
@@ -17,6 +17,10 @@ def op1_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -41,5 +45,5 @@ def op10_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_compression_classifier, op4_simhash_near_dedup, op5_transport_stream, op7_record_output, op8_brown_lm, op9_quality_rules, op10_hilbert_packing)}
+QUERIES = {f.__name__: f for f in (op1_compression_classifier, op2_suffix_array_dedup, op4_simhash_near_dedup, op5_transport_stream, op7_record_output, op8_brown_lm, op9_quality_rules, op10_hilbert_packing)}
 ORACLE_SQL: dict[str, str] = {}
