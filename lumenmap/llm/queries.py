@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown_lm, compression_classifier, packing, quality_rules, record_output, simhash, suffix_dedup, transport_stream
+from . import brown_lm, compression_classifier, merge_dropout, packing, quality_rules, record_output, simhash, suffix_dedup, transport_stream
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op3_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_dropout.digest(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -45,5 +49,5 @@ def op10_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_compression_classifier, op2_suffix_array_dedup, op4_simhash_near_dedup, op5_transport_stream, op7_record_output, op8_brown_lm, op9_quality_rules, op10_hilbert_packing)}
+QUERIES = {f.__name__: f for f in (op1_compression_classifier, op2_suffix_array_dedup, op3_merge_dropout, op4_simhash_near_dedup, op5_transport_stream, op7_record_output, op8_brown_lm, op9_quality_rules, op10_hilbert_packing)}
 ORACLE_SQL: dict[str, str] = {}
