@@ -1,0 +1,4 @@
+"""All registered queries."""
+
+from . import evidence, structure  # noqa: F401
+from .registry import ORACLE_SQL, QUERIES  # noqa: F401

@@ -47,9 +47,9 @@ def results_sql(flag: str | None = None) -> str:
       round(min(l_tax) * 20, 6) AS pose_consensus FROM lineitem {where} GROUP BY l_orderkey) i ON o_orderkey = l_orderkey"""
 
 
-FAILURES_SQL = """list_filter([CASE WHEN NOT success THEN 'localization_failed' END, CASE WHEN inliers < 25 THEN 'low_inliers' END, CASE WHEN inlier_ratio < 0.25 THEN 'low_inlier_ratio' END,
+FAILURES_SQL = """[r FOR r IN [CASE WHEN NOT success THEN 'localization_failed' END, CASE WHEN inliers < 25 THEN 'low_inliers' END, CASE WHEN inlier_ratio < 0.25 THEN 'low_inlier_ratio' END,
   CASE WHEN reproj_p90_px > 3.0 THEN 'high_reprojection_error' END, CASE WHEN hull_coverage < 0.15 THEN 'low_hull_coverage' END, CASE WHEN grid4_occupancy < 6 THEN 'low_grid_occupancy' END,
-  CASE WHEN positive_depth_ratio < 1.0 THEN 'low_positive_depth_ratio' END, CASE WHEN pose_consensus < 0.67 THEN 'low_pose_consensus' END], r -> r IS NOT NULL)"""
+  CASE WHEN positive_depth_ratio < 1.0 THEN 'low_positive_depth_ratio' END, CASE WHEN pose_consensus < 0.67 THEN 'low_pose_consensus' END] IF r IS NOT NULL]"""
 
 
 def gated_sql(flag: str | None = None) -> str:
@@ -79,10 +79,10 @@ def part_edges(spark: SparkSession, d: str) -> DataFrame:
 def risks(spark: SparkSession, d: str) -> DataFrame:
     """Events as scored queries: a rounded risk with many ties, failed where the event is an error."""
     e = table(spark, d, "events").where("value is not null")
-    return e.select("event_id", "user_id", "ts", F.round(F.least(F.greatest(F.col("value") / 200, F.lit(0.0)), F.lit(1.0)), 2).alias("risk"), (F.col("event_type") == "error").alias("failed"))
+    return e.select("event_id", "user_id", "ts", (F.floor(F.least(F.greatest(F.col("value") / 2, F.lit(0.0)), F.lit(100.0))) / 100).alias("risk"), (F.col("event_type") == "error").alias("failed"))
 
 
-RISKS_SQL = "SELECT event_id, user_id, ts, round(least(greatest(value / 200, 0.0), 1.0), 2) AS risk, event_type = 'error' AS failed FROM events WHERE value IS NOT NULL"
+RISKS_SQL = "SELECT event_id, user_id, ts, floor(least(greatest(value / 2, 0.0), 100.0)) / 100 AS risk, event_type = 'error' AS failed FROM events WHERE value IS NOT NULL"
 
 
 def vectors(spark: SparkSession, d: str) -> DataFrame:

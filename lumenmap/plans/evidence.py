@@ -34,7 +34,7 @@ _CRITERIA = G.LocalizationGates().rules()
 
 @query(
     " UNION ALL ".join(
-        f"SELECT '{m}' AS criterion, round(avg((len(list_filter(reasons, r -> r NOT IN ('{reason}', 'missing_{m}'))) = 0)::INT), 9) AS strict_rate, round(avg((len(list_filter(reasons, r -> r NOT IN ('{reason}', 'missing_{m}'))) = 0)::INT) - avg(strict::INT), 9) AS gain FROM ({A.gated_sql()})"
+        f"SELECT '{m}' AS criterion, round(avg((len([r FOR r IN reasons IF r NOT IN ('{reason}', 'missing_{m}')]) = 0)::INT), 9) AS strict_rate, round(avg((len([r FOR r IN reasons IF r NOT IN ('{reason}', 'missing_{m}')]) = 0)::INT) - avg(strict::INT), 9) AS gain FROM ({A.gated_sql()})"
         for reason, m, _, _ in _CRITERIA
     )
 )
