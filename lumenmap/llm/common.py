@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable
 
 import numpy as np
@@ -11,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
+from ..storage import cut, fresh_dir, shared_dir  # noqa: F401
 
 #: The bytes that part words: space and \x09-\x0D.
 SPACE_BYTES = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
@@ -25,27 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set, as in tests."""
-    set_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not set_dir:
-        set_dir = "file://" + tempfile.mkdtemp(prefix="lumenmap-")
-        spark.conf.set("spark.checkpoint.dir", set_dir)
-    return set_dir.rstrip("/")
-
-
-def fresh_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: later jobs neither recompute it nor need lost executors."""
-    spark = df.sparkSession
-    path = fresh_dir(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fold(id_col: str, n: int):
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % n

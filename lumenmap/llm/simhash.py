@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.graph import connect
 from .common import LOWER, cut
 
 SEED = 42
@@ -260,28 +261,6 @@ def links(prints: DataFrame, radius: int = RADIUS, large: int = LARGE_GROUP) ->
     return found.distinct()
 
 
-def connect(edges: DataFrame, name: str = "components") -> DataFrame:
-    """Rows (node, least) for each node of the links (a, b): the least node that it is connected with.
-
-    Large-star and small-star rounds: each node's greater neighbours are joined to its least neighbour, then
-    its smaller ones. A node's neighbours are never gathered; a node with very many is a skewed join key.
-    """
-    edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
-        nxt = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        nxt = cut(nxt.where("a <> b").distinct(), name)
-        before, after = (d.agg(F.count("*").alias("n"), F.sum(F.hash("a", "b").cast("long")).alias("h")).first() for d in (edges, nxt))
-        edges = nxt
-        if before == after:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("least"))
-
-
 def components(prints: DataFrame, id_col: str = "doc_id", radius: int = RADIUS) -> DataFrame:
     """Rows (id, fp) to rows (id, fp, component_id), the least id that links connect a row with, itself included."""
     named = prints.groupBy("fp").agg(F.min(id_col).alias("least_id"))
