@@ -160,7 +160,7 @@ class GrayIndex:
 
 
 def _blocks(bits: list[int], blocks: int = BLOCKS) -> list[list[int]]:
-    return [list(b) for b in np.array_split(np.array(bits), blocks)]
+    return [[int(i) for i in b] for b in np.array_split(np.array(bits), blocks)]
 
 
 def group_masks(rest: list[int], agree: int = AGREE) -> list[tuple[int, list[int]]]:
