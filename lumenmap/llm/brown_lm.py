@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, cut, fold
 
-FREQUENT = 200_000  # words whose counts every executor gets
+FREQUENT = 100_000  # words whose counts every executor gets
 CLUSTERED = 800  # words that are symbols of their own
 CLASSES = 40
 ALPHA = 0.1
@@ -181,6 +181,26 @@ def exchange(bigrams: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndar
     return label
 
 
+def frequent_from(counts: DataFrame, most: int) -> int:
+    """A count that at most so many words reach. Words are counted by buckets of counts, 64 to a power of two, so few rows come back."""
+    bucket = F.floor(F.log2(F.col("c")) * 64).cast("int")
+    rows = counts.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"), F.min("c").alias("c")).orderBy(F.desc("b")).collect()
+    words, least = 0, (rows[0]["c"] << 7 if rows else 1)
+    for r in rows:
+        words += r["n"]
+        if words > most:
+            break
+        least = r["c"]
+    return least
+
+
+def frequent_words(counts: DataFrame) -> list[tuple[bytes, int, int]]:
+    """(word, shape, count), from the most frequent on, ties by word."""
+    t = counts.select("word", "shape", "c").toArrow()
+    rows = zip(t.column("word").to_pylist(), t.column("shape").to_pylist(), t.column("c").to_pylist())
+    return sorted(rows, key=lambda r: (-r[2], r[0]))
+
+
 @dataclass(frozen=True)
 class ClassModel:
     label: np.ndarray  # class of each symbol
@@ -292,7 +312,8 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, frequent: int = FREQUE
     ends = train.count()
     sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = (sums["n"] or 0) + ends, sums["v"] + (ends > 0)
-    top = [(bytes(r["word"]), r["shape"], r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(frequent).collect()]  # bounded by frequent
+    least = frequent_from(counts, frequent)
+    top = frequent_words(counts.where(F.col("c") >= least))  # bounded by frequent
     v = vocabulary(top, clustered)
     size = v.clustered + SHAPES + 1
     pairs = count_bigrams(train, spark.sparkContext.broadcast(v), size).toArrow()  # at most size * size rows
@@ -308,13 +329,7 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, frequent: int = FREQUE
         less = own.get(r["shape"], (0, 0))
         shapes[r["shape"]] = (r["n"] - less[0], r["v"] - less[1])
     model = class_model(bigrams.reshape(size, size), v.clustered, shapes, tokens, distinct, ends)
-    # the least frequent of the frequent words: words below it are those to join, equal ones told apart by the order
-    rare = counts
-    if len(top) == frequent:
-        word, _, c = top[-1]
-        rare = counts.where((F.col("c") < c) | ((F.col("c") == c) & (F.col("word") > F.lit(bytearray(word)))))
-    else:
-        rare = counts.where("false")
+    rare = counts.where(F.col("c") < least)
     rows = _score_rows(texts, spark.sparkContext.broadcast((v, model)))
     joined = rows.join(rare.select("word", "c"), "word", "left")
     n = F.col("n").cast("long")
