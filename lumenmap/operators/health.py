@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions.exprs import clip, decay, dot, finite, grade, grid_cell, robust_badness, score_higher_better, score_lower_better, weighted_observed
 from .spatial import nearest_within
@@ -59,7 +60,7 @@ def hull_area(points: np.ndarray) -> float:
     return float(abs(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))) / 2)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def hull_share(x: pd.Series, y: pd.Series, w: pd.Series, h: pd.Series) -> float:
     """Hull of an image's points over the image's area; points out of the image don't count."""
     xy = np.column_stack([x, y]).astype(float)

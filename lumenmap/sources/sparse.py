@@ -96,7 +96,10 @@ def _text_cameras(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _text_images(spark: SparkSession, path: str) -> DataFrame:
-    """Pairs of lines: the pose, then the observations (which may be empty)."""
+    """Pairs of lines: the pose, then the observations (which may be empty).
+
+    Casts are tries, as a filter on their results may run before the one that tells the lines apart.
+    """
     from pyspark.sql import Window
 
     rows = _lines(spark, path, "images")
@@ -106,11 +109,11 @@ def _text_images(spark: SparkSession, path: str) -> DataFrame:
     numbered = numbered.withColumn("_odd", F.row_number().over(w))
     f = F.split(F.trim("line"), r"\s+", 10)
     rows = numbered.select(f.alias("f"), F.filter(F.split(F.trim(F.coalesce("_next", F.lit(""))), r"\s+"), lambda s: s != "").alias("o"))
-    d = lambda i: F.col("f")[i].cast("double")
+    d = lambda i: F.col("f")[i].try_cast("double")
     n = F.floor(F.size("o") / 3).cast("int")
-    points = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.struct(F.get("o", k * 3).cast("double").alias("x"), F.get("o", k * 3 + 1).cast("double").alias("y"), F.when(F.get("o", k * 3 + 2).cast("long") >= 0, F.get("o", k * 3 + 2).cast("long")).alias("point3d_id"))))
+    points = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.struct(F.get("o", k * 3).try_cast("double").alias("x"), F.get("o", k * 3 + 1).try_cast("double").alias("y"), F.when(F.get("o", k * 3 + 2).try_cast("long") >= 0, F.get("o", k * 3 + 2).try_cast("long")).alias("point3d_id"))))
     empty = F.array().cast("array<struct<x:double,y:double,point3d_id:long>>")
-    return rows.select(F.col("f")[0].cast("long").alias("image_id"), *[d(i + 1).alias(c) for i, c in enumerate(("qw", "qx", "qy", "qz", "tx", "ty", "tz"))], F.col("f")[8].cast("long").alias("camera_id"), F.col("f")[9].alias("name"), F.coalesce(points, empty).alias("points"))
+    return rows.select(F.col("f")[0].try_cast("long").alias("image_id"), *[d(i + 1).alias(c) for i, c in enumerate(("qw", "qx", "qy", "qz", "tx", "ty", "tz"))], F.col("f")[8].try_cast("long").alias("camera_id"), F.col("f")[9].alias("name"), F.coalesce(points, empty).alias("points"))
 
 
 def _text_points(spark: SparkSession, path: str) -> DataFrame:
