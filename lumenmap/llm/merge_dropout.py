@@ -31,7 +31,7 @@ RATE, SEED = 0.1, 1234
 SPACE = 0x2581
 LONG_WORD = 48
 BATCH_CHARS = 400_000
-NONE = np.int64(1) << 40
+NONE = np.iinfo(np.int32).max
 
 _C1, _C2, _C3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
 
@@ -74,113 +74,128 @@ class Pieces:
                 a, b = plain.get(name[:k]), plain.get(name[k:])
                 if a is not None and b is not None:
                     pairs[a << 32 | b] = i
-        _, rank = np.unique(-score, return_inverse=True)
-        self.rank = rank.astype(np.int64)
+        values, rank = np.unique(-score, return_inverse=True)
+        self.rank = rank.astype(np.int32)
+        self.piece_of = np.full(len(values), -1, dtype=np.int32)  # of a rank that one piece has
+        alone = np.bincount(rank, minlength=len(values))[rank] == 1
+        self.piece_of[rank[alone]] = np.flatnonzero(alone)
         self._table(pairs)
 
     def _table(self, pairs: dict[int, int]) -> None:
         bits = max(10, (len(pairs) * 8).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.values, self.probes = np.full(1 << bits, -1, dtype=np.int64), np.full(1 << bits, -1, dtype=np.int64), 1
+        self.keys, self.values = np.full(1 << bits, -1, dtype=np.int64), np.full(1 << bits, -1, dtype=np.int64)
         keys = np.fromiter(pairs, np.int64, len(pairs))
         for key, at in zip(keys.tolist(), self._slot(keys).tolist()):
-            probes = 1
             while self.keys[at] >= 0:
-                at, probes = (at + 1) & self.mask, probes + 1
+                at = (at + 1) & self.mask
             self.keys[at], self.values[at] = key, pairs[key]
-            self.probes = max(self.probes, probes)
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * _C1) >> self.shift).astype(np.int64)
 
     def merged(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The piece that two pieces form, -1 where they form none."""
-        key = np.where((a >= 0) & (b >= 0), a << 32 | b, np.int64(-2))
+        key = np.where((a >= 0) & (b >= 0), a.astype(np.int64) << 32 | b, np.int64(-2))
         at = self._slot(key)
-        out = np.where(self.keys[at] == key, self.values[at], -1)
-        for k in range(1, self.probes):
-            rest = np.flatnonzero((out < 0) & (self.keys[(at + k - 1) & self.mask] >= 0))
-            if not len(rest):
-                break
-            there = (at[rest] + k) & self.mask
-            out[rest] = np.where(self.keys[there] == key[rest], self.values[there], -1)
+        there = self.keys[at]
+        out = np.where(there == key, self.values[at], -1)
+        rest = np.flatnonzero((there != key) & (there >= 0) & (key >= 0))
+        while len(rest):
+            at[rest] = (at[rest] + 1) & self.mask
+            there = self.keys[at[rest]]
+            hit = there == key[rest]
+            out[rest[hit]] = self.values[at[rest[hit]]]
+            rest = rest[~hit & (there >= 0)]
         return out
 
 
 class Agenda:
-    """Candidates' order: their rank and place, NONE for no candidate or a skipped one."""
+    """Candidates are ranks, NONE for no candidate or a skipped one; of equal ranks the leftmost comes first."""
 
     def __init__(self, pieces: Pieces, rate: float):
         self.pieces = pieces
         self.limit = np.uint64(min(int(rate * 2.0**64), 2**64 - 1))
 
-    def order(self, a: np.ndarray, b: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(piece, rank) of merging a and b; key: the hash of seed, document and place of the left character."""
+    def order(self, a: np.ndarray, b: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Merging a and b; key: the hash of seed, document and place of the left character."""
         piece = self.pieces.merged(a, b)
-        rank = np.where(piece >= 0, self.pieces.rank[piece], NONE)
+        out = np.where(piece >= 0, self.pieces.rank[piece], np.int32(NONE))
         if self.limit:
-            rank[(piece >= 0) & (_mix(key + piece.astype(np.uint64) * _C2) < self.limit)] = NONE
-        return piece, rank
+            some = np.flatnonzero(piece >= 0)
+            skip = _mix(key[some] + piece[some].astype(np.uint64) * _C2) < self.limit
+            out[some[skip]] = NONE
+        return out
+
+    def result(self, rank: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The piece that candidates of these ranks make."""
+        piece = self.pieces.piece_of[rank]
+        if (piece < 0).any():
+            piece = np.where(piece < 0, self.pieces.merged(a, b), piece)
+        return piece
 
 
 def _merge_in_step(agenda: Agenda, sym: np.ndarray, at: np.ndarray, keys: np.ndarray, put) -> None:
-    """Merge rows of symbols (words of one length). at: places of the symbols; put: takes places and symbols of finished words."""
+    """Merge rows of symbols (words of one length). at: places of the symbols; put: takes places and symbols of finished words.
+
+    A row has its symbols, their places and the candidate of each with the next.
+    """
     width = sym.shape[1]
+    sym, at = sym.astype(np.int32), at.astype(np.int32)
     count = np.full(len(sym), width)
-    piece = np.full(sym.shape, -1, dtype=np.int64)
-    rank = np.full(sym.shape, NONE, dtype=np.int64)
+    merge = np.full(sym.shape, NONE, dtype=np.int32)
     if width > 1:
-        p, r = agenda.order(sym[:, :-1].ravel(), sym[:, 1:].ravel(), keys[at[:, :-1].ravel()])
-        piece[:, :-1], rank[:, :-1] = p.reshape(len(sym), -1), r.reshape(len(sym), -1)
+        merge[:, :-1] = agenda.order(sym[:, :-1].ravel(), sym[:, 1:].ravel(), keys[at[:, :-1].ravel()]).reshape(len(sym), -1)
     column = np.arange(width)
     while len(sym):
-        best = rank.argmin(axis=1)
+        best = merge.argmin(axis=1)
         rows = np.arange(len(sym))
-        done = rank[rows, best] == NONE
+        top = merge[rows, best]
+        done = top == NONE
         if done.any():
             live = column[: sym.shape[1]] < count[done][:, None]
             put(at[done][live], sym[done][live])
-            sym, at, piece, rank, count, best = sym[~done], at[~done], piece[~done], rank[~done], count[~done], best[~done]
+            left = ~done
+            sym, at, merge, count, best, top = sym[left], at[left], merge[left], count[left], best[left], top[left]
             if not len(sym):
                 return
             rows = np.arange(len(sym))
-        sym[rows, best] = piece[rows, best]
+        sym[rows, best] = agenda.result(top, sym[rows, best], sym[rows, best + 1])
         # the right part goes: what is after it moves up
         w = sym.shape[1]
-        take = column[: w - 1] + (column[: w - 1] > best[:, None])
-        sym, at, piece, rank = (np.take_along_axis(m, take, axis=1) for m in (sym, at, piece, rank))
+        stay = column[:w] != (best + 1)[:, None]
+        sym, at, merge = (m[stay].reshape(-1, w - 1) for m in (sym, at, merge))
         count = count - 1
         for place in (best - 1, best):
             ok = np.flatnonzero((place >= 0) & (place + 1 < count))
             x = place[ok]
-            piece[ok, x], rank[ok, x] = agenda.order(sym[ok, x], sym[ok, x + 1], keys[at[ok, x]])
+            merge[ok, x] = agenda.order(sym[ok, x], sym[ok, x + 1], keys[at[ok, x]])
         end = np.flatnonzero(best == count - 1)
-        rank[end, best[end]] = NONE
+        merge[end, best[end]] = NONE
 
 
 def _merge_by_heap(agenda: Agenda, sym: np.ndarray, at: np.ndarray, keys: np.ndarray, put) -> None:
     """The same for one long word."""
     n = len(sym)
     s, after, before, alive = sym.tolist(), list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-    p, r = agenda.order(sym[:-1], sym[1:], keys[at[:-1]])
-    heap = [(a, i, i + 1, b) for i, (a, b) in enumerate(zip(r.tolist(), p.tolist())) if a != NONE]
+    heap = [(c, i, i + 1) for i, c in enumerate(agenda.order(sym[:-1], sym[1:], keys[at[:-1]]).tolist()) if c != NONE]
     heapq.heapify(heap)
-    made = {(i, j): b for _, i, j, b in heap}
+    made = {(i, j): c for c, i, j in heap}
     while heap:
-        _, i, j, piece = heapq.heappop(heap)
-        if not alive[i] or not alive[j] or after[i] != j or made.get((i, j)) != piece:
+        c, i, j = heapq.heappop(heap)
+        if not alive[i] or not alive[j] or after[i] != j or made.get((i, j)) != c:
             continue
-        s[i], alive[j] = piece, False
+        s[i], alive[j] = int(agenda.result(np.array([c]), np.array([s[i]]), np.array([s[j]]))[0]), False
         k = after[i] = after[j]
         if k < n:
             before[k] = i
         for x, y in ((before[i], i), (i, k)):
             if x >= 0 and y < n:
-                q, o = agenda.order(np.array([s[x]]), np.array([s[y]]), keys[at[x : x + 1]])
+                c = int(agenda.order(np.array([s[x]]), np.array([s[y]]), keys[at[x : x + 1]])[0])
                 made.pop((x, y), None)
-                if o[0] != NONE:
-                    made[x, y] = int(q[0])
-                    heapq.heappush(heap, (int(o[0]), x, y, int(q[0])))
+                if c != NONE:
+                    made[x, y] = c
+                    heapq.heappush(heap, (c, x, y))
     live = np.array(alive)
     put(at[live], np.array(s)[live])
 
