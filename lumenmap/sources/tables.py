@@ -192,3 +192,42 @@ def media_index(spark: SparkSession, path: str, pattern: str = r"([^/]+)/([^/]+?
 def content_hashes(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select("path", F.sha2("content", 256).alias("sha256"))
+
+
+# precomputed matches
+
+MATCHES = "query_id string, reference_id string, match_id long, q_x double, q_y double, r_x double, r_y double, confidence double"
+
+
+def _match_rows(path: str, content: bytes) -> list[tuple]:
+    import io
+
+    import numpy as np
+
+    query, _, reference = path.rsplit("/", 1)[-1].removesuffix(".npz").partition("__")
+    with np.load(io.BytesIO(content), allow_pickle=False) as f:
+        q, r = np.asarray(f["query_xy"], float), np.asarray(f["reference_xy"], float)
+        c = np.asarray(f["confidence"], float) if "confidence" in f else np.ones(len(q))
+    if q.shape != r.shape or q.ndim != 2 or q.shape[1] != 2 or len(c) != len(q):
+        raise ValueError(f"{path}: the arrays do not fit together")
+    return [(query, reference, i, *map(float, (*q[i], *r[i])), float(c[i])) for i in range(len(q))]
+
+
+def precomputed_matches(spark: SparkSession, path: str, swap: bool = False) -> DataFrame:
+    """Matches of `query__reference.npz` files (query_xy, reference_xy, confidence); swap turns query and reference round."""
+    import pandas as pd
+
+    from ..session import ship
+
+    ship(spark)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [c.split()[0] for c in MATCHES.split(", ")]
+        for b in batches:
+            for p, content in zip(b["path"], b["content"]):
+                yield pd.DataFrame(_match_rows(p, content), columns=names)
+
+    rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").load(path).select("path", "content").mapInPandas(read, MATCHES)
+    if swap:
+        rows = rows.select(F.col("reference_id").alias("query_id"), F.col("query_id").alias("reference_id"), "match_id", F.col("r_x").alias("q_x"), F.col("r_y").alias("q_y"), F.col("q_x").alias("r_x"), F.col("q_y").alias("r_y"), "confidence")
+    return rows

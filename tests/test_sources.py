@@ -2,7 +2,6 @@ import sqlite3
 import struct
 
 import pytest
-from pyspark.sql import functions as F
 
 from lumenmap.operators import gates as G
 from lumenmap.operators import health as H
@@ -137,4 +136,13 @@ def test_sinks(spark, tmp_path):
 def test_provenance(spark):
     p = sparse.with_provenance(spark.createDataFrame([(1,), (2,)], "point3d_id long"), spark.createDataFrame([(2, "ADDED")], "point3d_id long, provenance string"))
     assert {tuple(r) for r in p.collect()} == {(1, "BASE"), (2, "ADDED")}
-    assert F is not None
+
+
+def test_precomputed_matches(spark, tmp_path):
+    import numpy as np
+
+    np.savez(tmp_path / "q1__r1.npz", query_xy=np.array([[1.0, 2.0], [3.0, 4.0]]), reference_xy=np.array([[5.0, 6.0], [7.0, 8.0]]), confidence=np.array([0.5, 0.9]))
+    got = sorted(map(tuple, tables.precomputed_matches(spark, str(tmp_path)).collect()))
+    assert got == [("q1", "r1", 0, 1.0, 2.0, 5.0, 6.0, 0.5), ("q1", "r1", 1, 3.0, 4.0, 7.0, 8.0, 0.9)]
+    back = tables.precomputed_matches(spark, str(tmp_path), swap=True).where("match_id = 0").first()
+    assert (back["query_id"], back["q_x"], back["r_x"]) == ("r1", 5.0, 1.0)
