@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +23,37 @@ IS_SPACE[list(SPACE_BYTES)] = True
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: Rows of an Arrow batch. Texts are large rows; Spark's default of 10,000 would hold tens of MB on either side.
+BATCH_ROWS = 2000
+
+
+def for_texts(spark: SparkSession) -> None:
+    """Send the library to the executors and keep Arrow batches of texts small, unless the session says how small."""
     ship(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def settle() -> None:
+    """In a Python worker, at the start of a task that doesn't tokenize: give back what earlier tasks left.
+
+    Workers are used again for other stages; the caches of the token encoders and freed memory that the
+    allocators keep would else add up.
+    """
+    tokens = sys.modules.get("lumenmap.llm.tokens")
+    if tokens is not None:
+        tokens.release()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    for_texts(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fit_logistic, fold, labelled_sample, sigmoid
+from .common import fit_logistic, fold, labelled_sample, settle, sigmoid
 
 BLOCK = 256
 DICT_BYTES = 64 * 1024
@@ -118,6 +118,7 @@ def score_column(model: CompressionModel, text: str | Column = "text") -> Column
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        settle()
         scorer = Scorer(model)
         for s in batches:
             yield pd.Series([scorer.score(t) for t in s], dtype="float64")

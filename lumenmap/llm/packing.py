@@ -125,6 +125,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 n = pa.array([len(r) // width for r in rows], pa.int64())
                 yield pa.record_batch([pa.array(range(uid, uid + len(rows)), pa.int64()), b.column(0), pa.array(keys), n, pa.array(rows, pa.binary())], names=["uid", "doc_id", "key", "n", "ids"])
                 uid += len(rows)
+        enc.rest()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, ENCODED)
 

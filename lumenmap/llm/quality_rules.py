@@ -17,11 +17,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, fit_logistic, in_chunks, labelled_sample, sigmoid
+from .common import IS_SPACE, fit_logistic, in_chunks, labelled_sample, settle, sigmoid
 
 BITS = 16
 SIZE = 1 << BITS
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 MIN_WORDS = 50
 MAX_REPEAT_SHARE = 50  # per cent of the words
 THRESHOLD = 0.5
@@ -227,6 +227,7 @@ def judge(texts: list[str | None], model: NgramModel, threshold: float = THRESHO
 def verdict_column(model: NgramModel, text: str | Column = "text", threshold: float = THRESHOLD) -> Column:
     @F.pandas_udf(VERDICT)
     def verdict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        settle()
         for s in batches:
             yield judge(s.tolist(), model, threshold)
 

@@ -131,6 +131,7 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0,
                 ids = enc.encode(text.as_py() or "") + end
                 writer.add(doc_id, ids, len(ids) // width)
         writer.close()
+        enc.rest()
         if writer.done:
             names = ["part", "file", "name", "docs", "tokens", "bytes"]
             kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()]

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connect
-from .common import LOWER, cut
+from .common import LOWER, cut, settle
 
 SEED = 42
 SHINGLE = 4
@@ -67,6 +67,7 @@ def fingerprint_column(text: str | Column = "text", words: int = SHINGLE) -> Col
 
     @F.pandas_udf("long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        settle()
         for s in batches:
             yield pd.Series(np.array([fingerprint(t, words) for t in s], dtype=np.uint64).view(np.int64))
 

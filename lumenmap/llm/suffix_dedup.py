@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, in_chunks
+from .common import cut, in_chunks, settle
 
 LENGTH = 400
 GAP = 160  # at most 256, as a run's extents are stored in a byte each
@@ -156,6 +156,7 @@ def spans_of(flags: np.ndarray) -> list[tuple[int, int]]:
 
 def _runs(docs: DataFrame, length: int, gap: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
         for b in batches:
             d, h = b.column(0).to_numpy(), b.column(1).to_numpy()
             done = 0
@@ -173,6 +174,7 @@ def _bytes_of(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["place", "d", "h", "at", "single", "hot", "run"]
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary()]
+        settle()
         for b in batches:
             rows = []
             for d, h, text, runs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
@@ -180,7 +182,7 @@ def _bytes_of(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 for r in runs.as_py():
                     lo, _, span = unpack_place(r["at"])
                     rows.append((r["place"], d, h, r["at"], r["single"], r["hot"], text[lo : lo + span + length]))
-                if len(rows) > 20_000:
+                if len(rows) > 5_000:
                     yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
                     rows = []
             if rows:
@@ -194,6 +196,7 @@ def _sorted_places(runs: DataFrame, length: int) -> DataFrame:
     """Of the runs that come together by place, the starts of single runs that are repeated: (d, h, s, e)."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
         held: list[pa.Table] = []
         size = 0
 
@@ -313,6 +316,7 @@ def cut_column(text: Column, spans: Column, length: int = LENGTH) -> Column:
 
     @F.pandas_udf(CUT)
     def cut_out(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        settle()
         for texts, lists in batches:
             rows = []
             for t, sp in zip(texts, lists):

@@ -44,6 +44,10 @@ class Recent(dict):
         self[key] = value
         return value
 
+    def rest(self) -> None:
+        """Give up the old half, at the end of a task: the process may turn to other work."""
+        self.old = {}
+
     def trim(self) -> None:
         if len(self) > self.limit:
             self.old = dict(self)
@@ -121,6 +125,10 @@ class Encoder:
         self.pieces.trim()
         return out
 
+    def rest(self) -> None:
+        self.parts.rest()
+        self.pieces.rest()
+
 
 _SPACE_BEFORE_SPACE = re.compile(r" \s")
 _SPACE_BEFORE_WORD = re.compile(r" (?=\S)")
@@ -134,3 +142,8 @@ def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
+
+
+def release() -> None:
+    """Give up all encoders of this process."""
+    _encoders.clear()
