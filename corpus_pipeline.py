@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenmap.llm import compression_classifier, packing, quality_rules, simhash, suffix_dedup
-from lumenmap.llm.common import cut, table
+from lumenmap.llm.common import cut, for_texts, table
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -30,17 +30,20 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document of the least id stays."""
+    for_texts(spark)
     return simhash.keep_one(docs)
 
 
 def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 400 bytes that occur elsewhere go; n_chars follows the text."""
+    for_texts(spark)
     got = suffix_dedup.without_repeats(docs)
     return got.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns) if "n_chars" in docs.columns else got
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4,096 tokens along the Hilbert curve."""
+    for_texts(spark)
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
