@@ -23,6 +23,7 @@ from .common import fit_logistic, fold, labelled_sample, settle, sigmoid
 BLOCK = 256
 DICT_BYTES = 64 * 1024
 LEVEL = 3
+SHORT = 32  # characters at which a text counts half
 
 
 @dataclass(frozen=True)
@@ -82,7 +83,11 @@ class Scorer:
         if not text:
             return self.model.prior
         a, b = self.differences(text)
-        return float(sigmoid(self.model.slope[0] * a + self.model.slope[1] * b + self.model.shift))
+        # a few bytes say little: their score stays near the share of label 1
+        told = len(text) / (len(text) + SHORT)
+        known = self.model.slope[0] * a + self.model.slope[1] * b + self.model.shift
+        share = min(max(self.model.prior, 1e-6), 1 - 1e-6)
+        return float(sigmoid(told * known + (1 - told) * np.log(share / (1 - share))))
 
 
 def train(sample: list[tuple[str, int]], prior: float) -> CompressionModel:

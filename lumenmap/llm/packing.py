@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, settle
 from .tokens import encoder
 
 LENGTH = 4096
@@ -136,6 +136,7 @@ def places(encoded: DataFrame) -> tuple[DataFrame, int]:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
         part, before = TaskContext.get().partitionId(), 0
         for b in batches:
             n = b.column(1).to_numpy()
@@ -171,6 +172,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, length: int = LENGTH,
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64()] * 7 + [pa.binary()] * keep_ids
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"][: len(kinds)]
+        settle()
         for b in batches:
             rows = []
             for doc_id, n, place, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3)):

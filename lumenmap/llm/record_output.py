@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_dir
+from .common import fresh_dir, settle
 from .tokens import encoder
 
 HEADER = struct.Struct("<QI")
@@ -158,6 +158,7 @@ def read_records(spark: SparkSession, folder: str, id_bytes: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.string(), *[pa.int64()] * 4]
+        settle()
         for b in batches:
             for path, content in zip(b.column(0).to_pylist(), b.column(1)):
                 rows = list(records_of(path.rsplit("/", 1)[-1].removesuffix(".rec"), memoryview(content.as_buffer()), id_bytes))
