@@ -23,8 +23,11 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score of under 0.3 go."""
-    model = compression_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    """Documents with a score of under 0.3 go.
+
+    The model is fitted on the whole documents table: of docs, the first stage has rejected most of label 0.
+    """
+    model = compression_classifier.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return docs.withColumn("_score", compression_classifier.score_column(model)).where(F.col("_score") >= 0.3).select(docs.columns)
 
 

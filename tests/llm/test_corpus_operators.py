@@ -255,6 +255,23 @@ def test_pipeline_stages(spark, graded, tmp_path):
         assert stage(spark, all_docs.limit(0), str(tmp_path)).count() == 0, name
 
 
+def test_classifier_stage_drops_what_the_rules_keep(spark, graded, tmp_path):
+    """The rules leave no label 0, so the classifier has to learn it from the whole table."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    docs, labels = graded
+    junk = " ".join(w + "###" if k % 2 else w.upper() + "!!" for k, w in enumerate(words(9, 180).split()))
+    mixed = [(2000, f"{words(7, 200)} {junk} {words(8, 200)}", "en", "s", 1)]
+    all_docs = docs.unionByName(spark.createDataFrame(mixed, SCHEMA))
+    all_docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    pipeline.quality_rules_stage(spark, all_docs, str(tmp_path)).write.parquet(f"{tmp_path}/kept")
+    kept = spark.read.parquet(f"{tmp_path}/kept")
+    first = {r["doc_id"] for r in kept.collect()}
+    second = {r["doc_id"] for r in pipeline.quality_classifier_stage(spark, kept, str(tmp_path)).collect()}
+    assert 2000 in first and 2000 not in second
+    assert len(first - second) <= 6
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
