@@ -38,15 +38,15 @@ def covisibility_components(spark: SparkSession, d: str) -> DataFrame:
 _STRONG_EDGES_SQL = "SELECT x.s AS a, y.s AS b FROM (SELECT DISTINCT user_id AS s, ts::DATE AS p FROM events WHERE value > 280) x JOIN (SELECT DISTINCT user_id AS s, ts::DATE AS p FROM events WHERE value > 280) y ON x.p = y.p AND x.s < y.s GROUP BY 1, 2"
 
 
-def _user_edges(spark: SparkSession, d: str) -> DataFrame:
-    seen = table(spark, d, "events").where("value > 280").select(F.col("user_id").alias("image_id"), F.to_date("ts").alias("point3d_id"))
+def _user_edges(spark: SparkSession, d: str, where: str = "true") -> DataFrame:
+    seen = table(spark, d, "events").where(where).select(F.col("user_id").alias("image_id"), F.to_date("ts").alias("point3d_id"))
     return N.covisibility(seen, least=1)
 
 
 @query(f"""WITH RECURSIVE e AS ({_STRONG_EDGES_SQL}), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), n AS (SELECT DISTINCT user_id AS node FROM events),
   r(node, reach) AS (SELECT node, node FROM n UNION SELECT r.node, u.b FROM r JOIN u ON u.a = r.reach) SELECT node, min(reach) AS component FROM r GROUP BY node""")
 def user_components(spark: SparkSession, d: str) -> DataFrame:
-    return N.components(table(spark, d, "events").select(F.col("user_id").alias("node")), _user_edges(spark, d))
+    return N.components(table(spark, d, "events").select(F.col("user_id").alias("node")), _user_edges(spark, d, "value > 280"))
 
 
 @query(f"WITH e AS ({A.PART_EDGES_SQL}) SELECT x.a AS a, x.b AS b, y.b AS c FROM e x JOIN e y ON x.b = y.a JOIN e z ON z.a = x.a AND z.b = y.b")

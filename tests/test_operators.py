@@ -261,3 +261,18 @@ def test_greedy_selections(spark):
     assert sum(counts.values()) == 10 and min(counts.values()) >= 1 and counts["x"] > counts["y"] > counts["z"]
     core = L.greedy_core([{"session": s, "quality": q} for s, q in (("a", 0.9), ("b", 0.8), ("c", 0.7), ("d", 0.99))], [{"a": "a", "b": "b", "status": "STRONG", "score": 1.0}, {"a": "b", "b": "c", "status": "WEAK", "score": 1.0}], 3)
     assert [s for s, _ in core] == ["a", "b"]
+
+
+def test_fragility_takes_all_events(spark, tmp_path):
+    from lumenmap.plans import QUERIES
+
+    rows = [(1, "2024-01-01 01:00:00", 5.0), (2, "2024-01-01 09:00:00", 7.0), (2, "2024-01-02 09:00:00", 300.0), (3, "2024-01-02 10:00:00", 290.0), (4, "2024-01-03 10:00:00", 1.0), (5, "2024-01-03 11:00:00", 2.0), (6, "2024-01-04 11:00:00", 400.0)]
+    spark.createDataFrame(rows, "user_id long, ts string, value double").selectExpr("user_id", "cast(ts as timestamp) as ts", "value").write.parquet(f"{tmp_path}/events.parquet")
+    edges = {(a, b) for a, t, _ in rows for b, u, _ in rows if a < b and t[:10] == u[:10]}
+    group = {r[0]: r[0] for r in rows}
+    for _ in rows:
+        for a, b in edges:
+            group[a] = group[b] = min(group[a], group[b])
+    want = {(c, sum(g == c for g in group.values()), sum(group[a] == c for a, _ in edges)) for a, _ in edges for c in [group[a]]}
+    got = QUERIES["graph_fragility"](spark, str(tmp_path)).collect()
+    assert {(r["component"], r["nodes"], r["edges"]) for r in got} == want
