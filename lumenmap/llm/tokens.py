@@ -3,8 +3,8 @@
 The library's own encoding spends most of its time on splitting and on words it has just seen. Here a text is
 parted at places where the file's own rules never look across, and the ids of each part are kept; parts that
 are new are split by the file's pattern, and each new piece goes to the library's model. The result is equal
-to encode(text, add_special_tokens=False) with special tokens taken as ordinary text. Files with other rules
-than the two that are known here are used through encode() alone.
+to encode(text, add_special_tokens=False). Texts that hold an added token, and files with other rules than the
+two that are known here, are used through encode() alone.
 """
 
 from __future__ import annotations
@@ -55,9 +55,11 @@ class Recent(dict):
 
 
 class Encoder:
-    def __init__(self, path: str):
+    """added: whether texts may hold the file's added tokens, as encode() has it by default; else these are ordinary text."""
+
+    def __init__(self, path: str, added: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -65,6 +67,8 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             rules = json.load(f)
         self.kind = self._kind(rules)
+        contents = [re.escape(t["content"]) for t in rules.get("added_tokens") or []] if added else []
+        self.added = re.compile("|".join(contents), re.I) if contents else None  # files may lower texts first
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.pattern = regex.compile(BYTE_LEVEL_PATTERN if self.kind == "spaces kept" else WORD_PATTERN)
         self.pieces = Recent(self._piece, PIECES)
@@ -107,7 +111,7 @@ class Encoder:
         """The ids as little-endian unsigned integers of self.dtype."""
         text = text if text.isascii() else text.encode("utf-8", "replace").decode("utf-8")
         parts = self.parts
-        if self.kind == "other":
+        if self.kind == "other" or (self.added and self.added.search(text)):
             out = self._library(text)
         elif self.kind == "spaces dropped":
             # no pattern crosses a space; composition could only do so with a mark that follows one
@@ -140,7 +144,7 @@ _encoders: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """One for each file and process, so that a reused Python worker keeps what it has learnt."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, added=True)
     return _encoders[path]
 
 

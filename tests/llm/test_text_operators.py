@@ -141,6 +141,16 @@ def test_encoder_equals_library(path):
         assert np.frombuffer(e.encode(x), e.dtype).tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
 
 
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_added_tokens_are_matched_as_the_library_does(path):
+    from lumenmap.llm.tokens import encoder
+
+    e, t = encoder(path), Tokenizer.from_file(path)
+    for x in [*ODD, "a <|endoftext|>b", "<|ENDOFTEXT|> é<|endoftext|>"]:
+        assert np.frombuffer(e.encode(x), e.dtype).tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
+    assert len(np.frombuffer(e.encode("<|endoftext|>"), e.dtype)) == 1
+
+
 def ids_of(path, text, end):
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
