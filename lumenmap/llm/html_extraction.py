@@ -16,6 +16,7 @@ from __future__ import annotations
 import html as html_module
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -223,9 +224,9 @@ def features(blocks: list[Block]) -> np.ndarray:
     parent_chars = np.array([chars[p] if p >= 0 else total for p in parents])
     same = np.zeros(n)
     for b in blocks:
-        names = [blocks[c].tag for c in b.children]
-        for c, t in zip(b.children, names):
-            same[c] = names.count(t) if len(names) < 200 else 200
+        counts = Counter(blocks[c].tag for c in b.children)
+        for c in b.children:
+            same[c] = counts[blocks[c].tag]
     cols = [
         np.array([_TAG_NUMBER.get(b.tag, len(TAGS)) for b in blocks], dtype=np.float64),
         np.array([b.depth for b in blocks], dtype=np.float64),

@@ -186,6 +186,12 @@ def test_extraction_on_generated_pages():
     assert right / total > 0.97
 
 
+def test_siblings_of_a_tag_are_counted_at_every_size():
+    blocks, _ = html_extraction.parse("<html><body><h1>t</h1>" + "<p>x</p>" * 250 + "</body></html>")
+    same = {b.tag: row[17] for b, row in zip(blocks, html_extraction.features(blocks))}
+    assert same["h1"] == 1 and same["p"] == 250
+
+
 def test_choice_is_consistent_and_likeliest():
     r = random.Random(4)
     for _ in range(60):
