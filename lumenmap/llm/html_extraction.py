@@ -49,6 +49,8 @@ WORDS = {
 KIND_OF = {w: k for k, words in enumerate(WORDS.values()) for w in words}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
+# An option ends at its end tag, or else before the next option or the end of a block around it.
+_OPTION_STOP = re.compile(r"(</option\s*>)|<(?:option|optgroup)(?=[\s/>])|</(?!(?:" + "|".join(sorted(INLINE)) + r")[\s>])[a-z]", re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _PUNCTUATION = re.compile(r"[.,;:!?]")
@@ -148,6 +150,10 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
             blocks[stack[-1][1]].controls += 1
         if name in RAW:
             if not m[3].rstrip().endswith("/"):
+                if name == "option":
+                    stop = _OPTION_STOP.search(page, at)
+                    at = (stop.end() if stop[1] else stop.start()) if stop else end
+                    continue
                 stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
                 at = stop.end() if stop else end
             continue

@@ -192,6 +192,13 @@ def test_siblings_of_a_tag_are_counted_at_every_size():
     assert same["h1"] == 1 and same["p"] == 250
 
 
+@pytest.mark.parametrize("tail", ["", "</option>"])
+def test_text_after_options_without_end_tags_stays(tail):
+    page = f"<body><datalist><option value=a>x<option value=b>y</datalist><select><option>z{tail}</select><p>the article</p></body>"
+    assert [t for _, t in html_extraction.parse(page)[1]] == ["the article"]
+    assert [t for _, t in html_extraction.parse("<ul><option>a</option>b</ul><p>c</p>")[1]] == ["b", "c"]
+
+
 def test_choice_is_consistent_and_likeliest():
     r = random.Random(4)
     for _ in range(60):
