@@ -52,6 +52,11 @@ def settle() -> None:
         pass  # another C library
 
 
+def texts_of(column: pa.Array) -> list[str]:
+    """The texts of an Arrow column, null as empty."""
+    return [t or "" for t in column.to_pylist()]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     for_texts(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

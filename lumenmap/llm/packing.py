@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, settle
+from .common import cut, settle, texts_of
 from .tokens import encoder
 
 LENGTH = 4096
@@ -73,7 +73,11 @@ def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 def document_keys(ids: list[np.ndarray], table: np.ndarray) -> np.ndarray:
     """The Hilbert key of each document; one without ids lies at the middle of the cube."""
-    sums = np.array([table[i].sum(axis=0) if len(i) else np.zeros(DIMENSIONS) for i in ids], dtype=np.float64).reshape(-1, DIMENSIONS)
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+    sums = np.zeros((len(ids), DIMENSIONS))
+    some = np.flatnonzero(sizes)
+    if len(some):
+        sums[some] = np.add.reduceat(table[np.concatenate([ids[i] for i in some.tolist()])], (np.cumsum(sizes) - sizes)[some], axis=0, dtype=np.float64)
     norm = np.linalg.norm(sums, axis=1, keepdims=True)
     unit = sums / np.where(norm > 0, norm, 1)
     return hilbert_key(np.clip(((unit + 1) / 2 * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1))
@@ -118,14 +122,13 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         table = projection(max(enc.size, end_id + 1))
         uid = TaskContext.get().partitionId() << 33
         for whole in batches:
-            for k in range(0, whole.num_rows, 1000):
-                b = whole.slice(k, 1000)
-                rows = [enc.encode(t.as_py() or "") + end for t in b.column(1)]
+            for k in range(0, whole.num_rows, 2000):
+                b = whole.slice(k, 2000)
+                rows = [ids + end for ids in enc.encode_all(texts_of(b.column(1)))]
                 keys = document_keys([np.frombuffer(r, enc.dtype)[:-1] for r in rows], table)
                 n = pa.array([len(r) // width for r in rows], pa.int64())
                 yield pa.record_batch([pa.array(range(uid, uid + len(rows)), pa.int64()), b.column(0), pa.array(keys), n, pa.array(rows, pa.binary())], names=["uid", "doc_id", "key", "n", "ids"])
                 uid += len(rows)
-        enc.rest()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, ENCODED)
 

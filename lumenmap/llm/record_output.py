@@ -7,9 +7,10 @@ document's id (8 bytes) and its token ids. Beside each file of records stands an
 33 bytes for each record (flag, id, offset of the record, number of tokens, tokens before it in the file), by
 which single records can be read in any order.
 
-Files are written in ascending order of ids, a range of ids to each task, and a new file is begun when one is
-full. Names come from the task's place in that order and are moved into place when complete, so a task that
-runs again replaces what it wrote.
+Files are written in ascending order of ids, a range of (id, text's beginning and hash) to each task, so that
+rows of one id are spread too; a new file is begun when one is full. Names come from the task's place in that order and
+are moved into place when complete, so a task that runs again replaces what it wrote. The manifest, one row for
+each file, stays a table; the driver gets one sum for each range.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_dir, settle
+from .common import cut, fresh_dir, settle, texts_of
 from .tokens import encoder
 
 HEADER = struct.Struct("<QI")
@@ -34,8 +35,9 @@ DATA = struct.Struct("<Bq")
 ENTRY = struct.Struct("<BqQQQ")
 MASK = 0xA282EAD8
 FILE_BYTES = 16 << 20
+HEAD = 64  # characters of a text that order the rows of one id
 
-MANIFEST = "part int, file int, name string, docs long, tokens long, bytes long"
+MANIFEST = "part int, file int, name string, docs long, tokens long, bytes long, before long"
 ROWS = "name string, doc_id long, n_tokens long, local_start long, ids_crc32 long"
 
 
@@ -75,7 +77,7 @@ class _Writer:
 
     def __init__(self, folder: str, part: int, attempt: int, limit: int):
         self.store, self.root = fs.FileSystem.from_uri(folder)
-        self.part, self.attempt, self.limit, self.file = part, attempt, limit, 0
+        self.part, self.attempt, self.limit, self.file, self.before = part, attempt, limit, 0, 0
         self.done: list[tuple] = []
         self._open()
 
@@ -107,14 +109,17 @@ class _Writer:
             f.write(b"".join(self.index))
         for suffix, source in ((".rec", self.temp), (".idx", self.temp + ".idx")):
             self.store.move(source, f"{self.root}/{self.name}{suffix}")
-        self.done.append((self.part, self.file, self.name, len(self.index), self.tokens, self.at))
+        self.done.append((self.part, self.file, self.name, len(self.index), self.tokens, self.at, self.before))
+        self.before += self.tokens
 
 
 def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Encode docs (doc_id, text), append end_id to each and write records in ascending order of doc_id.
 
-    Null texts are empty; null ids come first; rows with the same id are in the order of their texts. Returns
-    the manifest, one row for each file. The texts are shuffled once, by ranges of ids.
+    Null texts are empty; null ids come first; rows with the same id are in the order of the first 64 characters
+    of their texts (null first), then of a hash of the text. The texts are shuffled once, by ranges of all three,
+    so only rows that agree in id and text must share a task. Returns the manifest, one row for each file: its part, place,
+    name, documents, tokens, bytes, and the tokens of its part's files before it.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -127,19 +132,18 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0,
         end, width = np.array([end_id], dtype=enc.dtype).tobytes(), enc.dtype.itemsize
         writer = _Writer(folder, context.partitionId(), context.taskAttemptId(), file_bytes)
         for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = enc.encode(text.as_py() or "") + end
+            for doc_id, ids in zip(b.column(0).to_pylist(), enc.encode_all(texts_of(b.column(1)))):
+                ids += end
                 writer.add(doc_id, ids, len(ids) // width)
         writer.close()
-        enc.rest()
         if writer.done:
-            names = ["part", "file", "name", "docs", "tokens", "bytes"]
-            kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+            names = ["part", "file", "name", "docs", "tokens", "bytes", "before"]
+            kinds = [pa.int32(), pa.int32(), pa.string(), *[pa.int64()] * 4]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*writer.done), kinds)], names=names)
 
-    ranged = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    rows = ranged.mapInArrow(write, MANIFEST).collect()  # one row for each file
-    return spark.createDataFrame(sorted(rows, key=lambda r: (r["part"], r["file"])), MANIFEST)
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.substring("text", 1, HEAD).alias("head"), F.xxhash64("text").alias("h"))
+    ranged = rows.repartitionByRange(parts, "doc_id", "head", "h").sortWithinPartitions("doc_id", "head", "h", "text").select("doc_id", "text")
+    return cut(ranged.mapInArrow(write, MANIFEST), "records-manifest")
 
 
 def records_of(name: str, data: memoryview, id_bytes: int) -> Iterator[tuple]:
@@ -184,20 +188,58 @@ def record_at(data: bytes | memoryview, offset: int, id_bytes: int) -> tuple[int
 def output(docs: DataFrame, tokenizer: str, end_id: int = 0, folder: str | None = None) -> DataFrame:
     """Write records to the shared folder, read them back and return doc_id, start, n_tokens and ids_crc32.
 
-    start counts the ids of all documents before this one. An empty table writes nothing and returns no rows;
-    other columns are not read.
+    start counts the ids of all documents before this one. Repeated rows are records of their own. An empty table
+    writes nothing and returns no rows; other columns are not read.
     """
     spark = docs.sparkSession
     folder = folder or fresh_dir(spark, "records")
     id_bytes = encoder(tokenizer).dtype.itemsize
     manifest = write_records(docs, tokenizer, folder, end_id)
-    files = manifest.orderBy("part", "file").select("name", "tokens").collect()
-    if not files:
-        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
-    before, bases = 0, []
-    for f in files:
-        bases.append((f["name"], before))
-        before += f["tokens"]
-    base = spark.createDataFrame(bases, "name string, base long")
+    base = manifest.join(F.broadcast(part_bases(manifest)), "part").select("name", (F.col("base") + F.col("before")).alias("base"))
     rows = read_records(spark, folder, id_bytes).join(base, "name")
     return rows.select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def part_bases(manifest: DataFrame) -> DataFrame:
+    """part and the tokens of all parts before it: one row for each range of the shuffle, which goes through the driver."""
+    before, bases = 0, []
+    for r in manifest.groupBy("part").agg(F.sum("tokens").alias("n")).orderBy("part").collect():
+        bases.append((r["part"], before))
+        before += r["n"]
+    return manifest.sparkSession.createDataFrame(bases, "part int, base long")
+
+
+def shuffled_ids(spark: SparkSession, folder: str, id_bytes: int, seed: int) -> DataFrame:
+    """doc_id and token ids (array) of all records, in an order drawn by the seed, read by the index files alone.
+
+    The index entries are ordered by a hash keyed by the seed and the record's place; each task opens the files
+    that its entries name and reads single records at their offsets. Equal seeds give equal orders.
+    """
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
+        for b in batches:
+            for path, content in zip(b.column(0).to_pylist(), b.column(1)):
+                rows = [(path.removesuffix(".idx") + ".rec", at, n) for _, at, n, _ in read_index(content.as_py())]
+                if rows:
+                    kinds = [pa.string(), pa.int64(), pa.int64()]
+                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["path", "at", "n"])
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
+        for b in batches:
+            ids, found = [], []
+            for path, at, n in zip(*(c.to_pylist() for c in b.columns[:3])):
+                store, name = fs.FileSystem.from_uri(path)
+                with store.open_input_file(name) as f:
+                    f.seek(at)
+                    doc_id, got = record_at(f.read(overhead + n * id_bytes), 0, id_bytes)
+                ids.append(doc_id)
+                found.append(got.astype(np.int64))
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "ids"])
+
+    overhead = HEADER.size + DATA.size + FOOTER.size
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.idx").load(folder).select("path", "content")
+    index = files.mapInArrow(entries, "path string, at long, n long").withColumn("h", F.xxhash64(F.lit(seed), F.element_at(F.split("path", "/"), -1), "at"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return index.repartitionByRange(parts, "h", "path", "at").sortWithinPartitions("h", "path", "at").select("path", "at", "n").mapInArrow(fetch, "doc_id long, ids array<long>")
