@@ -72,8 +72,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
 
     docs has doc_id and text. keep: a condition on doc_id. Rows with a null text, label or id, and texts
     of more than max_chars characters, are not taken; so the sample is bounded by 2 * per_class * max_chars.
+    An id with both labels has none; an id whose label is given more than once counts once.
     """
-    rows = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)").dropDuplicates(["doc_id"])
+    rows = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)")
+    rows = rows.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").drop("other")
     if keep is not None:
         rows = rows.where(keep)
     share = rows.agg(F.avg("label").alias("p"), F.count("*").alias("n")).first()

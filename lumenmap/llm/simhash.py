@@ -263,14 +263,14 @@ def links(prints: DataFrame, radius: int = RADIUS, large: int = LARGE_GROUP) ->
 
 
 def components(prints: DataFrame, id_col: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """Rows (id, fp) to rows (id, fp, component_id), the least id that links connect a row with, itself included."""
+    """Rows (id, fp) to rows (id, fp, component_id, root): the least id that links connect a row with, itself included, and the least fingerprint."""
     named = prints.groupBy("fp").agg(F.min(id_col).alias("least_id"))
     named = cut(named, "simhash-prints")
     stars = connect(links(named.select("fp"), radius), "simhash-links")
     root = named.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("least", "fp").alias("root"), "least_id")
     owner = root.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    class_of = root.join(owner, "root").select("fp", "component_id")
-    return prints.join(class_of, "fp").select(id_col, "fp", F.coalesce("component_id", F.col(id_col)).alias("component_id"))
+    class_of = root.join(owner, "root").select("fp", "root", "component_id")
+    return prints.join(class_of, "fp").select(id_col, "fp", F.coalesce("component_id", F.col(id_col)).alias("component_id"), "root")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, words: int = SHINGLE) -> DataFrame:
@@ -286,10 +286,19 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words: int = SHINGLE)
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, words: int = SHINGLE) -> DataFrame:
-    """docs with one row of each component, that of the least doc_id; rows with a null doc_id stay, as they can't be told apart.
+    """docs with one row of each component: of those with the least doc_id, by fingerprint and text.
 
-    Of repeated rows of that doc_id one stays.
+    Rows with a null doc_id stay, as they can't be told apart. Rows that share an id are documents of their own:
+    of those in one component one stays, others are kept with their own component. Of rows that agree in id and
+    text one stays. Other columns stay as they are, whatever their names; an empty table gives an empty one.
     """
-    classes = near_duplicates(docs, radius, words).where("doc_id is not null and doc_id = component_id").select("doc_id").distinct()
-    owned = docs.where(F.col("doc_id").isNotNull()).join(classes, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return owned.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    known = docs.where(F.col("doc_id").isNotNull())
+    h = [F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit(""))), F.xxhash64(F.lit(1), F.col("doc_id"), F.coalesce("text", F.lit("")))]
+    prints = docs.select("doc_id", fingerprint_column(words=words).alias("fp"), h[0].alias("x"), h[1].alias("y"))
+    prints = cut(prints, "simhash")
+    classes = components(prints.select("doc_id", "fp"), radius=radius).select("fp", "root").distinct()
+    first = prints.where("doc_id is not null").join(classes, "fp").groupBy("root").agg(F.min(F.struct("doc_id", "fp", "x", "y")).alias("m"))
+    kept = known.select(row, h[0].alias("x"), h[1].alias("y")).join(first.select("m.x", "m.y"), ["x", "y"], "left_semi")
+    names = [F.col(f"row.`{c}`") for c in docs.columns]
+    return kept.dropDuplicates(["x", "y"]).select(*names).unionByName(docs.where(F.col("doc_id").isNull()))

@@ -19,8 +19,10 @@ the rest; the texts that follow are sorted, with the lengths of the prefixes tha
 is a phrase's suffix and a prefix of what follows, so strings are equal when they have the same suffix rank and
 no shorter shared prefix lies between them in the order of what follows.
 
-A place of the corpus with more different runs than one task should sort is left to a join on 128-bit hashes of
-its single strings, whose counts are summed before the shuffle.
+A place of the corpus with more different runs than one task should sort is parted: the strings of its runs are
+dealt by how far before the trigger's end they start, in cells of a few bytes. All strings of a cell share more
+bytes than those of the place, so its parts are places of their own, keyed by the hash of these bytes, and go
+through the same steps with ever smaller cells. In a cell of one byte the shared bytes are the whole string.
 """
 
 from __future__ import annotations
@@ -40,11 +42,10 @@ LENGTH = 400
 GAP = 160  # at most 256, as a run's extents are stored in a byte each
 WIDTH = 8
 CHUNK = 1 << 20
-LARGE = 10_000  # different runs at one place of the corpus
+LARGE = 1_000  # different runs at one place of the corpus that one task sorts
+CELLS = (32, 8, 1)  # bytes of the cells by which a larger place is parted, one after the other
 SORTED = 10_000  # runs that a task sorts at a time, besides the last place's
 
-NO_ID = -(1 << 63)
-
 
 def _least(key: np.ndarray, gap: int) -> np.ndarray:
     """The least of each gap consecutive values."""
@@ -154,46 +155,56 @@ def spans_of(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[0::2].tolist(), (edge[1::2] - 1).tolist()))
 
 
-def _runs(docs: DataFrame, length: int, gap: int) -> DataFrame:
+RUN = "place long, own long, x long, y long, at long"
+WITH_BYTES = "place long, x long, y long, at long, single boolean, hot boolean, run binary"
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    cols = list(zip(*rows)) or [()] * len(fields)
+    return pa.record_batch([pa.array(c, kinds[k]) for c, (_, k) in zip(cols, fields)], names=[n for n, _ in fields])
+
+
+def _runs(keyed: DataFrame, length: int, gap: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settle()
         for b in batches:
-            d, h = b.column(0).to_numpy(), b.column(1).to_numpy()
+            x, y = b.column(0).to_numpy(), b.column(1).to_numpy()
             done = 0
             for chunk in in_chunks((t.as_py() for t in b.column(2)), CHUNK):
                 doc, place, own, at = run_rows(chunk, length, gap)
-                yield pa.record_batch([pa.array(place), pa.array(own), pa.array(d[done + doc]), pa.array(h[done + doc]), pa.array(at)], names=["place", "own", "d", "h", "at"])
+                yield pa.record_batch([pa.array(place), pa.array(own), pa.array(x[done + doc]), pa.array(y[done + doc]), pa.array(at)], names=["place", "own", "x", "y", "at"])
                 done += len(chunk)
 
-    return docs.select("d", "h", "t").where(F.length("t") >= length).mapInArrow(rows, "place long, own long, d long, h int, at long")
+    return keyed.select("x", "y", "t").where(F.length("t") >= length).mapInArrow(rows, RUN)
 
 
 def _bytes_of(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """wanted (place, d, h, at, single, hot) with the bytes of the runs; the wanted runs of a text go to it together."""
+    """wanted (place, x, y, at, single, hot) with the bytes of the runs; the wanted runs of a text go to it together, once however many copies it has."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["place", "d", "h", "at", "single", "hot", "run"]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary()]
         settle()
         for b in batches:
             rows = []
-            for d, h, text, runs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
+            for x, y, text, runs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
                 text = text.as_py()
                 for r in runs.as_py():
                     lo, _, span = unpack_place(r["at"])
-                    rows.append((r["place"], d, h, r["at"], r["single"], r["hot"], text[lo : lo + span + length]))
+                    rows.append((r["place"], x, y, r["at"], r["single"], r["hot"], text[lo : lo + span + length]))
                 if len(rows) > 5_000:
-                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+                    yield _batch(rows, WITH_BYTES)
                     rows = []
             if rows:
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+                yield _batch(rows, WITH_BYTES)
 
-    lists = wanted.groupBy("d", "h").agg(F.collect_list(F.struct("place", "at", "single", "hot")).alias("runs"))
-    return keyed.join(lists, ["d", "h"]).select("d", "h", "t", "runs").mapInArrow(read, "place long, d long, h int, at long, single boolean, hot boolean, run binary")
+    lists = wanted.groupBy("x", "y").agg(F.collect_list(F.struct("place", "at", "single", "hot")).alias("runs"))
+    return keyed.join(lists, ["x", "y"]).select("x", "y", "t", "runs").dropDuplicates(["x", "y"]).mapInArrow(read, WITH_BYTES)
 
 
 def _sorted_places(runs: DataFrame, length: int) -> DataFrame:
-    """Of the runs that come together by place, the starts of single runs that are repeated: (d, h, s, e)."""
+    """Of the runs that come together by place, the starts of single runs that are repeated: (x, y, s, e)."""
+    schema = "x long, y long, s long, e long"
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settle()
@@ -204,11 +215,8 @@ def _sorted_places(runs: DataFrame, length: int) -> DataFrame:
             at = table.column("at").to_numpy()
             lo, ahead, span = unpack_place(at)
             flags = repeated_starts(table.column("run").to_pylist(), ahead, span, length)
-            d, h, single = table.column("d").to_numpy(), table.column("h").to_numpy(), table.column("single").to_pylist()
-            rows = [(d[i], h[i], lo[i] + x, lo[i] + y) for i in np.flatnonzero(flags.any(axis=1)).tolist() if single[i] for x, y in spans_of(flags[i])]
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-            cols = list(zip(*rows)) or [(), (), (), ()]
-            return pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)], names=["d", "h", "s", "e"])
+            x, y, single = table.column("x").to_numpy(), table.column("y").to_numpy(), table.column("single").to_pylist()
+            return _batch([(x[i], y[i], lo[i] + a, lo[i] + b) for i in np.flatnonzero(flags.any(axis=1)).tolist() if single[i] for a, b in spans_of(flags[i])], schema)
 
         for b in batches:
             held.append(pa.Table.from_batches([b]))
@@ -216,7 +224,7 @@ def _sorted_places(runs: DataFrame, length: int) -> DataFrame:
             if size > SORTED:
                 table = pa.concat_tables(held).combine_chunks()
                 place = table.column("place").to_numpy()
-                # places are not parted; each has at most LARGE runs
+                # places are not parted here; each has at most LARGE runs
                 stops = np.flatnonzero(place[1:] != place[:-1]) + 1
                 begin = 0
                 while len(stops) and (rest := stops[stops > begin]).size:
@@ -229,89 +237,123 @@ def _sorted_places(runs: DataFrame, length: int) -> DataFrame:
             yield flush(pa.concat_tables(held).combine_chunks())
 
     placed = runs.repartition("place").sortWithinPartitions("place")
-    return placed.select("place", "d", "h", "at", "single", "run").mapInArrow(search, "d long, h int, s long, e long")
+    return placed.select("place", "x", "y", "at", "single", "run").mapInArrow(search, schema)
+
+
+def part_run(run: bytes, at: int, length: int, cell: int) -> list[tuple[int, int, int, bytes]]:
+    """A run parted by cells: (place, hash of the whole, packed place, bytes) of each part."""
+    lo, ahead, span = unpack_place(at)
+    far, near = ahead + WIDTH, ahead + WIDTH - span  # bytes from its first and its last start to the trigger's end
+    out = []
+    for c in range(near // cell, far // cell + 1):
+        first, last = min(far, (c + 1) * cell - 1), max(near, c * cell)
+        shared = run[far - c * cell : far + length - (c + 1) * cell + 1]
+        part = run[far - first : far - last + length]
+        place = xxhash.xxh3_64_intdigest(shared, c << 8 | cell)
+        own = xxhash.xxh3_64_intdigest(part, first << 8 | first - last)
+        out.append((place - (1 << 63), own - (1 << 63), lo + far - first << 16 | first - WIDTH << 8 | first - last, part))
+    return out
 
 
-def _counted_strings(runs: DataFrame, length: int) -> DataFrame:
-    """The same of places with very many runs, by counts of 128-bit hashes of single strings."""
+def _parted(hot: DataFrame, length: int, cell: int) -> DataFrame:
+    """The parts of the runs of large places: place, own, x, y, at, n (2 for a run that is repeated already) and run."""
+    schema = "place long, own long, x long, y long, at long, n long, run binary"
 
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(0, b.num_rows, 1000):
-                part = b.slice(k, 1000)
-                at = part.column(2).to_numpy()
-                lo, _, span = unpack_place(at)
-                owner = np.repeat(np.arange(part.num_rows), span + 1)
-                digests = b"".join(xxhash.xxh3_128_digest(r[x : x + length]) for r, s in zip(part.column(4).to_pylist(), span.tolist()) for x in range(s + 1))
-                both = np.frombuffer(digests, dtype="<i8").reshape(-1, 2)
-                start = lo[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(span + 1) - span - 1, span + 1)
-                single = np.array(part.column(3).to_pylist(), dtype=bool)[owner]
-                yield pa.record_batch([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.array(part.column(0).to_numpy()[owner]), pa.array(part.column(1).to_numpy()[owner]), pa.array(start), pa.array(single)], names=["x", "y", "d", "h", "s", "single"])
-
-    rows = runs.select("d", "h", "at", "single", "run").mapInArrow(strings, "x long, y long, d long, h int, s long, single boolean")
-    often = rows.groupBy("x", "y").count().where("count > 1").select("x", "y")
-    return rows.where("single").join(often, ["x", "y"]).select("d", "h", "s", F.col("s").alias("e"))
+            for k in range(0, b.num_rows, 500):
+                cols = (c.to_pylist() for c in b.slice(k, 500).columns)
+                yield _batch([(place, own, x, y, part_at, 1 if single else 2, part) for x, y, at, single, run in zip(*cols) for place, own, part_at, part in part_run(run, at, length, cell)], schema)
+
+    return hot.select("x", "y", "at", "single", "run").mapInArrow(rows, schema)
+
+
+def _ends(at: str = "at") -> list[Column]:
+    return [F.shiftright(at, 16).alias("s"), (F.shiftright(at, 16) + F.col(at).bitwiseAND(0xFF)).alias("e")]
+
+
+def _undecided(classes: DataFrame, large: int) -> DataFrame:
+    """Of classes (place, own, n, one): those at places where a single run has others beside it."""
+    places = classes.groupBy("place").agg(F.count("*").alias("runs"), F.sum((F.col("n") == 1).cast("long")).alias("singles")).where("singles > 0 and runs > 1")
+    return classes.join(places, "place").select("place", "one.*", (F.col("n") == 1).alias("single"), (F.col("runs") > large).alias("hot"))
 
 
 def repeated(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = LENGTH, gap: int = GAP, large: int = LARGE) -> DataFrame:
-    """Rows (d, h, spans): for each text with repeated strings, the stretches of their starts, first and last.
+    """Rows (x, y, spans): for each text with repeated strings, the stretches of their starts, first and last.
 
-    d and h name a row: its id (a fixed number for null) and a hash of its text. Rows that agree on both are
-    copies of one another and have the same spans.
+    x and y are 128 bits of hashes of a row's id (null told apart) and text. Rows that agree on both are copies
+    of one another and have the same spans.
     """
     keyed = with_key(docs, text, id_col)
     runs = _runs(keyed, length, gap)
     often = runs.groupBy("place").count().where("count > 1").select("place")
     found = cut(runs.join(often, "place"), "passages-runs")
-    classes = found.groupBy("place", "own").agg(F.count("*").alias("n"), F.min(F.struct("d", "h", "at")).alias("one"))
+    classes = found.groupBy("place", "own").agg(F.count("*").alias("n"), F.min(F.struct("x", "y", "at")).alias("one"))
     classes = cut(classes, "passages-classes")
-    whole = found.join(classes.where("n > 1").select("place", "own"), ["place", "own"])
-    whole = whole.select("d", "h", F.shiftright("at", 16).alias("s"), (F.shiftright("at", 16) + F.col("at").bitwiseAND(0xFF)).alias("e"))
-    places = classes.groupBy("place").agg(F.count("*").alias("runs"), F.sum((F.col("n") == 1).cast("long")).alias("singles")).where("singles > 0 and runs > 1")
-    wanted = classes.join(places, "place").select("place", "one.*", (F.col("n") == 1).alias("single"), (F.col("runs") > large).alias("hot"))
-    with_bytes = cut(_bytes_of(keyed, wanted, length), "passages-bytes")
-    spans = whole.unionByName(_sorted_places(with_bytes.where("not hot"), length))
-    if not with_bytes.where("hot").isEmpty():
-        spans = spans.unionByName(_counted_strings(with_bytes.where("hot"), length))
-    return spans.groupBy("d", "h").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    spans = found.join(classes.where("n > 1").select("place", "own"), ["place", "own"]).select("x", "y", *_ends())
+    with_bytes = cut(_bytes_of(keyed, _undecided(classes, large), length), "passages-bytes")
+    spans = spans.unionByName(_sorted_places(with_bytes.where("not hot"), length))
+    for cell in CELLS:
+        hot = with_bytes.where("hot")
+        if hot.isEmpty():
+            break
+        parts = cut(_parted(hot, length, cell), "passages-parts")
+        classes = parts.groupBy("place", "own").agg(F.sum("n").alias("n"), F.min(F.struct("x", "y", "at", "run")).alias("one"))
+        again = classes.where("n > 1").select("place", "own")
+        spans = spans.unionByName(parts.where("n = 1").join(again, ["place", "own"]).select("x", "y", *_ends()))
+        if cell == 1:
+            break  # a place holds one string only
+        with_bytes = cut(_undecided(classes, large), "passages-bytes")
+        spans = spans.unionByName(_sorted_places(with_bytes.where("not hot"), length))
+    return spans.groupBy("x", "y").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
 
 def with_key(docs: DataFrame, text: str, id_col: str) -> DataFrame:
-    """d, h and t (the text as bytes, null as empty)."""
-    t = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    return docs.select(*_key(text, id_col), t.alias("t"))
+    """x, y and t (the text as bytes, null as empty)."""
+    return docs.select(*row_key(text, id_col), _bytes(text).alias("t"))
+
 
+def _bytes(text: str) -> Column:
+    return F.coalesce(F.col(text), F.lit("")).cast("binary")
 
-def _key(text: str, id_col: str) -> list[Column]:
-    h = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    return [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("d"), F.xxhash64(h, F.col(id_col).isNull()).bitwiseAND(0x7FFFFFFF).cast("int").alias("h")]
 
+def row_key(text: str, id_col: str) -> list[Column]:
+    parts = [F.col(id_col), F.col(id_col).isNull(), F.coalesce(F.col(text), F.lit(""))]
+    return [F.xxhash64(*parts).alias("x"), F.xxhash64(F.lit(1), *parts).alias("y")]
 
-def remove(data: bytes, spans: list[tuple[int, int]], length: int = LENGTH) -> tuple[bytes, int, int]:
-    """The bytes that no repeated string covers, the number removed and the number of stretches removed."""
-    if not spans:
-        return data, 0, 0
-    kept, at, stretches, removed, end = [], 0, 0, 0, -1
+
+def stretches(spans: list[tuple[int, int]], length: int = LENGTH) -> list[tuple[int, int]]:
+    """The bytes that strings cover which start from the first to the last place of a span: begin and end of each stretch."""
+    out: list[tuple[int, int]] = []
     for s, e in sorted(spans):
-        stop = e + length
-        if s > end:
-            if end >= 0:
-                at = end
-            kept.append(data[at:s])
-            stretches += 1
-            removed += stop - s
-            end = stop
-        elif stop > end:
-            removed += stop - end
-            end = stop
-    kept.append(data[end:])
-    return b"".join(kept), removed, stretches
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], e + length))
+        else:
+            out.append((s, e + length))
+    return out
+
+
+def remove(data: bytes, spans: list[tuple[int, int]], length: int = LENGTH, least_words: int = 0) -> tuple[bytes, int, int]:
+    """The bytes that no repeated string covers, the number removed and the number of stretches removed.
+
+    Stretches of fewer than least_words words (parted by ASCII white space, those at the ends included) stay.
+    """
+    kept, at, removed, n = [], 0, 0, 0
+    for begin, end in stretches(spans, length):
+        if least_words and len(data[begin:end].split()) < least_words:
+            continue
+        kept.append(data[at:begin])
+        removed += end - begin
+        n += 1
+        at = end
+    kept.append(data[at:])
+    return b"".join(kept), removed, n
 
 
 CUT = "n_bytes long, n_removed long, n_spans long, kept binary"
 
 
-def cut_column(text: Column, spans: Column, length: int = LENGTH) -> Column:
+def cut_column(text: Column, spans: Column, length: int = LENGTH, least_words: int = 0) -> Column:
     """What is kept of a text (as bytes), with the numbers of bytes, bytes removed and stretches."""
 
     @F.pandas_udf(CUT)
@@ -320,39 +362,42 @@ def cut_column(text: Column, spans: Column, length: int = LENGTH) -> Column:
         for texts, lists in batches:
             rows = []
             for t, sp in zip(texts, lists):
-                kept, removed, stretches = remove(t, [(x["s"], x["e"]) for x in sp] if sp is not None else [], length)
-                rows.append((len(t), removed, stretches, kept))
+                kept, removed, n = remove(t, [(x["s"], x["e"]) for x in sp] if sp is not None else [], length, least_words)
+                rows.append((len(t), removed, n, kept))
             yield pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept"])
 
     return cut_out(text, spans)
 
 
-def dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = LENGTH, **limits) -> DataFrame:
-    """All columns of docs with n_bytes, n_removed, n_spans and kept (bytes) in a struct column `passages`.
+def dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = LENGTH, least_words: int = 0, **limits) -> DataFrame:
+    """Rows (row, passages): all columns of docs as a struct, and n_bytes, n_removed, n_spans and kept (bytes).
 
     A null text is empty; texts under `length` bytes keep everything. Rows with equal ids and texts are
-    documents of their own, so each repeats the other. An empty table gives an empty result.
+    documents of their own, so each repeats the other; rows with null ids are told apart by their texts. The
+    columns of docs stay inside `row`, so no name clashes. An empty table gives an empty result.
     """
     spans = repeated(docs, text, id_col, length, **limits)
-    d, h = _key(text, id_col)
-    rows = docs.withColumn("_d", d).withColumn("_h", h)
-    joined = rows.join(spans.select(F.col("d").alias("_d"), F.col("h").alias("_h"), F.col("spans").alias("_spans")), ["_d", "_h"], "left")
-    t = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    return joined.withColumn("passages", cut_column(t, F.col("_spans"), length)).drop("_d", "_h", "_spans")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *row_key(text, id_col), _bytes(text).alias("t"))
+    return rows.join(spans, ["x", "y"], "left").select("row", cut_column(F.col("t"), F.col("spans"), length, least_words).alias("passages"))
 
 
 def digest(docs: DataFrame, length: int = LENGTH, **limits) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and the SHA-256 of the bytes kept."""
+    """doc_id, n_bytes, n_removed, n_spans and the SHA-256 of the bytes kept, of each row; see dedup for odd rows."""
     got = dedup(docs.select("doc_id", "text"), length=length, **limits)
-    return got.select("doc_id", "passages.n_bytes", "passages.n_removed", "passages.n_spans", F.sha2("passages.kept", 256).alias("kept_sha256"))
+    return got.select("row.doc_id", "passages.n_bytes", "passages.n_removed", "passages.n_spans", F.sha2("passages.kept", 256).alias("kept_sha256"))
 
 
 def without_repeats(docs: DataFrame, text: str = "text", **limits) -> DataFrame:
-    """docs with repeated passages cut from the text, which stays null where it is null; a character that the cut parts goes whole."""
-    got = dedup(docs, text, **limits)
+    """docs with repeated passages cut from the text, which stays null where it is null; a character that the cut parts goes whole.
+
+    Other columns stay as they are, whatever their names; repeated rows each lose what they share; an empty
+    table gives an empty result.
+    """
 
     @F.pandas_udf("string")
     def decode(s: pd.Series) -> pd.Series:
         return s.map(lambda b: b.decode("utf-8", "ignore"))
 
-    return got.withColumn(text, F.when(F.col("passages.n_removed") > 0, decode(F.col("passages.kept"))).otherwise(F.col(text))).select(docs.columns)
+    got = dedup(docs, text, **limits)
+    new = F.when(F.col("passages.n_removed") > 0, decode(F.col("passages.kept"))).otherwise(F.col(f"row.`{text}`"))
+    return got.select(*(new.alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns))

@@ -48,7 +48,7 @@ def clashing(docs):
     """Columns with names that operators use themselves."""
     from pyspark.sql import functions as F
 
-    for c in ("score", "kept", "fp", "d", "h", "ids", "key", "uid", "n", "at", "label", "spans", "_v", "_d", "place", "media", "word"):
+    for c in ("score", "kept", "fp", "d", "h", "ids", "key", "uid", "n", "at", "label", "spans", "_v", "_d", "_h", "_spans", "passages", "_verdict", "_score", "row", "x", "y", "t", "place", "media", "word", "fingerprint", "component_id"):
         docs = docs.withColumn(c, F.lit("x"))
     return docs
 

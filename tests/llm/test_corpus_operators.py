@@ -102,10 +102,12 @@ def test_keep_one(docs, no_docs):
 # repeated passages
 
 
-def brute(texts, length):
+def brute(rows, length):
+    """rows: (doc_id, text). Counts (doc_id, bytes, bytes removed, stretches, hash of the rest)."""
+    texts = [(t or "").encode() for _, t in rows]
     count = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
     out = Counter()
-    for t in texts:
+    for (doc_id, _), t in zip(rows, texts):
         cover, end = bytearray(len(t)), 0
         for i in range(len(t) - length + 1):
             if count[t[i : i + length]] > 1:
@@ -114,7 +116,7 @@ def brute(texts, length):
                 end = i + length
         kept = bytes(b for b, c in zip(t, cover) if not c)
         spans = sum(1 for i in range(len(t)) if cover[i] and not (i and cover[i - 1]))
-        out[len(t), sum(cover), spans, hashlib.sha256(kept).hexdigest()] += 1
+        out[doc_id, len(t), sum(cover), spans, hashlib.sha256(kept).hexdigest()] += 1
     return out
 
 
@@ -135,15 +137,42 @@ def passages(seed, n):
 @pytest.mark.parametrize(("length", "gap", "large"), [(400, 160, 10_000), (400, 160, 3), (60, 24, 10_000), (60, 24, 3)])
 def test_repeats_match_brute_force(spark, length, gap, large):
     texts = passages(length, 80)
-    df = spark.createDataFrame([(i if i % 17 else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    got = suffix_dedup.digest(df, length=length, gap=gap, large=large).drop("doc_id").collect()
-    assert Counter(map(tuple, got)) == brute([(t or "").encode() for t in texts], length)
+    rows = [(i if i % 17 else None, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix_dedup.digest(df, length=length, gap=gap, large=large).collect()
+    assert Counter(map(tuple, got)) == brute(rows, length)
+
+
+def test_parts_of_a_large_place(spark):
+    """Many runs around one passage, with little and with much in common beside it."""
+    r = random.Random(8)
+    middle = "".join(r.choice("abcdef") for _ in range(50))
+    rows = []
+    for i in range(150):
+        left, right = ("".join(r.choice("xy") for _ in range(n)) for n in (12, 14))
+        rows.append((i % 140, f"{i:04d}" + left + middle + right + f"{i:04d}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for large in (2, 40, 1000):
+        got = suffix_dedup.digest(df, length=60, gap=24, large=large).collect()
+        assert Counter(map(tuple, got)) == brute(rows, 60)
+
+
+def test_rows_without_ids_are_told_apart(spark):
+    """Rows share an id or have none; one text of a kind is never taken for a copy."""
+    rows = [(None, words(i, 90)) for i in range(60)] + [(7, words(100 + i, 90)) for i in range(60)]
+    rows += [(None, words(3, 90)), (7, words(103, 90)), (8, "x" + words(104, 90)), *[(9, words(200, 90))] * 30]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for large in (2, 1000):
+        got = suffix_dedup.digest(df, large=large).collect()
+        assert Counter(map(tuple, got)) == brute(rows, 400)
 
 
 def test_repeats_on_odd_rows(docs, clashing, no_docs, odd_rows):
-    want = brute([(r[1] or "").encode() for r in odd_rows], 400)
+    want = brute([r[:2] for r in odd_rows], 400)
     for d in (docs, clashing):
-        assert Counter(map(tuple, suffix_dedup.digest(d).drop("doc_id").collect())) == want
+        assert Counter(map(tuple, suffix_dedup.digest(d).collect())) == want
+        cut = suffix_dedup.without_repeats(d)
+        assert cut.columns == d.columns and cut.count() == len(odd_rows)
     assert suffix_dedup.digest(no_docs).count() == 0
 
 
@@ -151,8 +180,8 @@ def test_sorted_search_cuts_at_places(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SORTED", 5)
     texts = passages(8, 60)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = suffix_dedup.digest(df, length=60, gap=24).drop("doc_id").collect()
-    assert Counter(map(tuple, got)) == brute([(t or "").encode() for t in texts], 60)
+    got = suffix_dedup.digest(df, length=60, gap=24).collect()
+    assert Counter(map(tuple, got)) == brute(list(enumerate(texts)), 60)
 
 
 def test_without_repeats_keeps_columns_and_characters(spark):
@@ -168,6 +197,7 @@ def test_remove():
     assert suffix_dedup.remove(b"abcdefghij", [(1, 2), (4, 4), (8, 8)], 2) == (b"agh", 7, 2)
     assert suffix_dedup.remove(b"abcdefghij", [(1, 1), (5, 6)], 2) == (b"adeij", 5, 2)
     assert suffix_dedup.remove(b"abc", [], 2) == (b"abc", 0, 0)
+    assert suffix_dedup.remove(b"a b c d e", [(0, 0), (4, 6)], 2, 2) == (b"a b e", 4, 1)  # one word stays
 
 
 # web pages
@@ -268,6 +298,42 @@ def test_pipeline_stages(spark, graded, tmp_path):
         assert stage(spark, all_docs.limit(0), str(tmp_path)).count() == 0, name
 
 
+def test_stages_on_odd_rows(spark, odd_rows, docs, clashing, no_docs, tmp_path):
+    """Nulls, repeated rows and clashing names: kept rows stay as they are, whatever their columns are called."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 3 != 0), 0) for i in range(-5, 20)] + [(None, 1, 0), (1, 0, 0), (1, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = Counter((r[0], r[2], r[3], r[4]) for r in odd_rows)
+    for d in (docs, clashing):
+        for name, stage in pipeline.STAGES[:-1]:
+            out = stage(spark, d, str(tmp_path))
+            assert out.columns == d.columns, name
+            got = out.collect()
+            if name != "suffix-array dedup":  # there n_chars follows the text
+                assert not Counter((r["doc_id"], r["lang"], r["source"], r["n_chars"]) for r in got) - rows, name
+            assert all(r[c] == "x" for r in got for c in set(d.columns) - set(docs.columns)), name
+        assert pipeline.packing_stage(spark, d, str(tmp_path)).count() >= len(odd_rows)
+    for name, stage in pipeline.STAGES:
+        assert stage(spark, no_docs, str(tmp_path)).count() == 0, name
+
+
+def test_rows_that_share_an_id_are_kept_by_text(spark):
+    rows = [(1, words(1, 60), "a"), (1, words(2, 60), "b"), (1, words(1, 60), "c"), (2, words(1, 60), "d"), (None, words(1, 60), "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp string")
+    got = Counter((r["doc_id"], r["text"]) for r in simhash.keep_one(df).collect())
+    assert got == Counter([(1, words(1, 60)), (1, words(2, 60)), (None, words(1, 60))])
+
+
+def test_passage_stage_takes_more_than_fifty_words(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    passage = words(50, 55)
+    short = " ".join("w" * 9 for _ in range(40))  # as many bytes, fewer words
+    rows = [(i, f"{words(i, 60)} {passage if i % 2 else short} {words(90 + i, 60)}", "en", "s", 1) for i in range(8)]
+    out = {r["doc_id"]: r["text"] for r in pipeline.repeated_passage_stage(spark, spark.createDataFrame(rows, SCHEMA), str(tmp_path)).collect()}
+    for i, text, *_ in rows:
+        assert (passage not in out[i] and words(i, 60) in out[i] and words(90 + i, 60) in out[i]) if i % 2 else out[i] == text
+
+
 def test_classifier_stage_drops_what_the_rules_keep(spark, graded, tmp_path):
     """The rules leave no label 0, so the classifier has to learn it from the whole table."""
     pipeline = pytest.importorskip("corpus_pipeline")
