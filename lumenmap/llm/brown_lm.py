@@ -1,304 +1,534 @@
 """Scores of a Brown class-based bigram model.
 
-Words are counted over all training documents. The most frequent words, and for all others a symbol for their
-shape (last character, letters beyond ASCII, length), are put into classes by exchange clustering: each symbol
-in turn moves to the class that most raises the likelihood of class bigrams, until none moves. Then
+Words are counted over all training documents and put into classes by exchange clustering, which moves each word
+to the class that most raises the likelihood of class bigrams:
 
-    P(word | before) = P(class | class before) * P(symbol | class) * P(word | symbol)
+* the core, words that make at least one in 20,000 tokens, with a symbol for the shape of all others (last
+  character, letters beyond ASCII, length). Their bigrams are counted once and kept as a table; a sweep sums it by
+  the classes of either side and moves every other symbol, until no two sweeps raise the likelihood any more;
+* every other word of the training documents, however many there are, is exchanged once against the classes that
+  the core has made: its neighbours' classes come together by word, and no list of words goes to the driver.
 
-with add-alpha transitions, and add-one emission of a word that shares its symbol with others, by which unseen
-words have a probability too. Every text ends with an end token that has a class of its own.
+Then P(word | before) = P(class | class before) * P(word | class), with add-alpha transitions. A class keeps a
+share for words that were never seen, by the number of words seen once of their shape. Every text ends with an end
+token that has a class of its own.
 
-A bounded number of the most frequent words, with their counts, goes to all executors. The other words' counts
-are joined: each document sends its own rare words once each, and none of these is frequent, so no key is hot.
+A bounded number of the most frequent words, with their counts and classes, goes to all executors. The other words
+are joined: each document sends its own rare words once each, and none of these is frequent in training.
 """
 
 from __future__ import annotations
 
-import struct
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, cut, fold
+from .common import IS_SPACE, LOWER, cut, fold, in_chunks, settle, texts_of
 
-FREQUENT = 100_000  # words whose counts every executor gets
-CLUSTERED = 800  # words that are symbols of their own
+FREQUENT = 100_000  # words whose counts and classes every executor gets
+CORE = 5e-5  # share of the tokens from which a word takes part in all sweeps; so at most 20,000 do
 CLASSES = 40
 ALPHA = 0.1
-SWEEPS = 12
-FLUSH = 300_000
+TOLERANCE = 1e-3  # log-likelihood a token by which two sweeps must better it
 SHAPES = 24
-OWNER = struct.Struct("<?q")  # whether the id is null, and the id
-LOCAL = struct.Struct("<qqddd")  # n_tokens, known, log counts, log counts of words with shapes, score but for those
+HOLE = 255
+CHUNK = 4 << 20
 
+TABLE = bytes(32 if IS_SPACE[b] else LOWER[b] for b in range(256))
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").translate(LOWER).split()
 
-
-def shape(word: bytes) -> int:
-    last = word[-1]
-    kind = 0 if 97 <= last <= 122 else 1 if last >= 128 else 2 if last in b".," else 3
-    return (kind * 2 + (not word.isascii())) * 3 + (0 if len(word) <= 4 else 1 if len(word) <= 8 else 2)
-
-
-def _count_rows(counter: Counter) -> pa.RecordBatch:
-    words = list(counter)
-    return pa.record_batch([pa.array(words, pa.binary()), pa.array([shape(w) for w in words], pa.int32()), pa.array(counter.values(), pa.int64())], names=["word", "shape", "n"])
+@dataclass
+class Words:
+    """The words of some texts: the different words, and of each occurrence the number of its word and of its text."""
+
+    word: pa.BinaryArray
+    shape: np.ndarray
+    code: np.ndarray
+    text: np.ndarray
+    texts: int
+
+
+def _binary(data: np.ndarray, offsets: np.ndarray) -> pa.BinaryArray:
+    return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def words_of(texts: list[bytes]) -> Words:
+    """Texts as UTF-8; A-Z are lowered."""
+    data = b"".join([t.translate(TABLE) + b" " for t in texts])
+    buf = np.frombuffer(data, dtype=np.uint8)
+    blank = buf == 32
+    begin = ~blank
+    begin[1:] &= blank[:-1]
+    sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
+    text = np.searchsorted(np.cumsum(sizes), np.flatnonzero(begin), side="right")
+    stay = ~blank
+    stay[1:] |= ~blank[:-1]
+    stay[0] = not blank[0]
+    close = buf[stay]
+    offsets = np.concatenate(([0], np.flatnonzero(close == 32) + 1))
+    coded = _binary(close, offsets).dictionary_encode()
+    # each has the space that ended it
+    word = pc.binary_slice(coded.dictionary, 0, -1)
+    raw, at = np.frombuffer(coded.dictionary.buffers()[2] or b"", np.uint8), np.frombuffer(coded.dictionary.buffers()[1], np.int32)[: len(word) + 1].astype(np.int64)
+    return Words(word, shapes_of(raw, at), coded.indices.to_numpy().astype(np.int64), text, len(texts))
+
+
+def shapes_of(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The shape of each word, given with a space behind it."""
+    if len(at) < 2:
+        return np.zeros(0, np.int64)
+    last, size = raw[at[1:] - 2], np.diff(at) - 1
+    wide = np.maximum.reduceat(raw, at[:-1]) >= 128
+    kind = np.select([(last >= 97) & (last <= 122), last >= 128, (last == 46) | (last == 44)], [0, 1, 2], 3)
+    return (kind * 2 + wide) * 3 + np.select([size <= 4, size <= 8], [0, 1], 2)
+
+
+def _chunks(column: pa.Array) -> Iterator[list[bytes]]:
+    yield from in_chunks((t.encode("utf-8", "replace") for t in texts_of(column)), CHUNK)
 
 
 def count_words(texts: DataFrame) -> DataFrame:
-    """word, its shape and its count over all texts (column text); words are counted within a task first."""
+    """word, its shape and its count over all texts (column text); words are counted within a chunk first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter: Counter = Counter()
+        settle()
         for b in batches:
-            for t in b.column(0):
-                counter.update(words_of(t.as_py()))
-                if len(counter) > FLUSH:
-                    yield _count_rows(counter)
-                    counter = Counter()
-        if counter:
-            yield _count_rows(counter)
+            for chunk in _chunks(b.column(0)):
+                w = words_of(chunk)
+                yield pa.record_batch([w.word, pa.array(w.shape.astype(np.int32)), pa.array(np.bincount(w.code, minlength=len(w.word)))], names=["word", "shape", "n"])
 
     return texts.select("text").mapInArrow(count, "word binary, shape int, n long").groupBy("word", "shape").agg(F.sum("n").alias("c"))
 
 
+def frequent_from(counts: DataFrame, most: int) -> int:
+    """A count that at most so many words reach. Words are counted by buckets of counts, 64 to a power of two, so few rows come back."""
+    bucket = F.floor(F.log2(F.col("c")) * 64).cast("int")
+    rows = counts.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"), F.min("c").alias("c")).orderBy(F.desc("b")).collect()
+    words, least = 0, (rows[0]["c"] << 7 if rows else 1)
+    for r in rows:
+        words += r["n"]
+        if words > most:
+            break
+        least = r["c"]
+    return least
+
+
 @dataclass
 class Vocabulary:
-    """The frequent words: place of each in the arrays of counts and of symbols."""
+    """The frequent words, the most frequent first, ties by word; the first `core` take part in all sweeps."""
 
-    place: dict[bytes, int]
+    word: pa.BinaryArray
+    shape: np.ndarray
     count: np.ndarray
-    symbol: np.ndarray
-    clustered: int
+    core: int
 
-    def symbols(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The place (-1: not frequent) and the symbol of each word."""
-        get = self.place.get
-        place = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        symbol = np.where(place >= 0, self.symbol[place] if len(self.symbol) else 0, 0)
-        for i in np.flatnonzero(place < 0).tolist():
-            symbol[i] = self.clustered + shape(words[i])
-        return place, symbol
+    @property
+    def size(self) -> int:
+        """Symbols: the core, the shapes and the boundary, which is the last."""
+        return self.core + SHAPES + 1
 
+    def places(self, word: pa.BinaryArray) -> np.ndarray:
+        """The place of each word, -1 for words that are not frequent."""
+        return pc.fill_null(pc.index_in(word, value_set=self.word), -1).to_numpy().astype(np.int64)
 
-def vocabulary(rows: list[tuple[bytes, int, int]], clustered: int) -> Vocabulary:
-    """rows: word, shape and count, from the most frequent on."""
-    m = min(clustered, len(rows))
-    symbol = np.array([i if i < m else m + r[1] for i, r in enumerate(rows)], dtype=np.int64)
-    return Vocabulary({bytes(r[0]): i for i, r in enumerate(rows)}, np.array([r[2] for r in rows], dtype=np.int64), symbol, m)
+    def symbols(self, w: Words) -> np.ndarray:
+        """The symbol of each different word."""
+        place = self.places(w.word)
+        return np.where((place >= 0) & (place < self.core), place, self.core + w.shape)
 
 
-def _symbol_line(texts: list[str | None], v: Vocabulary, boundary: int) -> tuple[np.ndarray, list[list[bytes]]]:
-    """Symbols of all texts with a boundary before the first and after each."""
-    parts, words = [np.array([boundary])], []
-    for t in texts:
-        w = words_of(t)
-        words.append(w)
-        parts += [v.symbols(w)[1], np.array([boundary])]
-    return np.concatenate(parts), words
+def vocabulary(counts: DataFrame, least: int, core_from: float) -> Vocabulary:
+    t = counts.where(F.col("c") >= least).select("word", "shape", "c").toArrow().combine_chunks()
+    t = t.take(pc.sort_indices(t, [("c", "descending"), ("word", "ascending")]))
+    c = t.column("c").to_numpy()
+    word = t.column("word").combine_chunks().cast(pa.binary()) if len(t) else pa.array([], pa.binary())
+    if isinstance(word, pa.ChunkedArray):
+        word = word.combine_chunks()
+    return Vocabulary(word, t.column("shape").to_numpy().astype(np.int64), c, int((c >= core_from).sum()))
 
 
-def count_bigrams(texts: DataFrame, shared, size: int) -> DataFrame:
-    """pair (first * size + second) and n of symbol bigrams; each task sends its own sums."""
+def _line(values: np.ndarray, w: Words, boundary: int) -> tuple[np.ndarray, np.ndarray]:
+    """A value for each word with a boundary before the first text and after each, and the places of the words."""
+    at = np.arange(len(w.code)) + w.text + 1
+    line = np.full(len(w.code) + w.texts + 1, boundary, dtype=np.int64)
+    line[at] = values
+    return line, at
+
+
+def count_bigrams(texts: DataFrame, shared) -> DataFrame:
+    """(a, b, n) of symbol bigrams."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size * size, np.int64)
+        settle()
         v = shared.value
         for b in batches:
-            for k in range(0, b.num_rows, 500):
-                line, _ = _symbol_line(b.column(0).slice(k, 500).to_pylist(), v, size - 1)
-                total += np.bincount(line[:-1] * size + line[1:], minlength=size * size)
-        pair = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(pair, pa.int64()), pa.array(total[pair])], names=["pair", "n"])
+            for chunk in _chunks(b.column(0)):
+                w = words_of(chunk)
+                line, _ = _line(v.symbols(w)[w.code], w, v.size - 1)
+                pair, n = np.unique(line[:-1] * v.size + line[1:], return_counts=True)
+                yield pa.record_batch([pa.array((pair // v.size).astype(np.int32)), pa.array((pair % v.size).astype(np.int32)), pa.array(n)], names=["a", "b", "n"])
+
+    return texts.select("text").mapInArrow(count, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+
 
-    return texts.select("text").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+# exchange clustering
+
+Vectors = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def exchange(bigrams: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarray:
+def likelihood(joint: np.ndarray) -> float:
+    return float(_xlogx(joint).sum() - _xlogx(joint.sum(0)).sum() - _xlogx(joint.sum(1)).sum())
+
+
+def class_vectors(bigrams: DataFrame, size: int, total: int) -> Vectors:
+    """For labels, the counts of each symbol before and after each class: (size, total) either way. The table is read once a sweep."""
+
+    def vectors(label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros(2 * size * total, np.int64)
+            for batch in batches:
+                a, b, n = (c.to_numpy().astype(np.int64) for c in batch.columns)
+                np.add.at(sums, a * total + label[b], n)
+                np.add.at(sums, size * total + b * total + label[a], n)
+            key = np.flatnonzero(sums)
+            yield pa.record_batch([pa.array(key), pa.array(sums[key])], names=["key", "n"])
+
+        got = bigrams.mapInArrow(add, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # at most 2 * size * total rows
+        both = np.zeros(2 * size * total)
+        both[got.column("key").to_numpy()] = got.column("n").to_numpy()
+        return both[: size * total].reshape(size, total), both[size * total :].reshape(size, total)
+
+    return vectors
+
+
+def exchange(loop: np.ndarray, vectors: Vectors, classes: int = CLASSES, tolerance: float = TOLERANCE) -> np.ndarray:
     """The class of each symbol; the last symbol keeps a class of its own, the last one.
 
-    Deterministic: symbols go in the order of their frequency, ties by number, and ties of classes to the lesser.
+    loop: how often each symbol follows itself. Every other symbol moves in a sweep, in the order of frequency, ties
+    by number, against class bigrams that follow each move; the counts beside single symbols are those from before
+    the sweep. A sweep that doesn't raise the likelihood is taken back, and two such end the clustering. Ties of
+    classes go to the lesser; so the result is the same every time.
     """
-    size = len(bigrams)
-    n = bigrams.astype(np.float64)
-    freq = n.sum(axis=0) + n.sum(axis=1)
-    order = np.argsort(-freq[:-1], kind="stable")
+    size = len(loop)
     classes = max(1, min(classes, size - 1))
-    label = np.full(size, classes, dtype=np.int64)
-    label[order] = np.arange(size - 1) % classes
-    total = classes + 1
-    member = np.zeros((size, total))
-    member[np.arange(size), label] = 1
-    out, into = n @ member, n.T @ member
-    joint = member.T @ out
-    for _ in range(sweeps):
-        moved = 0
-        for w in order.tolist():
-            if not freq[w]:
+    label, total = np.full(size, classes, dtype=np.int64), classes + 1
+    best, best_value, order, part, idle = None, -np.inf, None, 0, 0
+    while True:
+        if order is None:
+            label[:-1] = np.arange(size - 1) % classes
+        out, into = vectors(label)
+        if order is None:
+            freq = out.sum(1) + into.sum(1)
+            order = np.argsort(-freq[:-1], kind="stable")
+            first = np.full(size, classes, dtype=np.int64)
+            first[order] = np.arange(size - 1) % classes
+            if not np.array_equal(first, label):
+                label = first
+                out, into = vectors(label)
+        joint = np.zeros((total, total))
+        np.add.at(joint, label, out)
+        value = likelihood(joint)
+        idle = 0 if best is None or value > best_value + tolerance * max(1.0, joint.sum()) else idle + 1
+        if best is None or value > best_value:
+            best, best_value = (label.copy(), out, into), value
+        else:
+            label, out, into = best[0].copy(), best[1], best[2]
+            joint = np.zeros((total, total))
+            np.add.at(joint, label, out)
+        if idle == 2:
+            return best[0]
+        _sweep(label, joint, out, into, loop, order[part::2], freq, classes)
+        part ^= 1
+
+
+def _sweep(label: np.ndarray, joint: np.ndarray, out: np.ndarray, into: np.ndarray, loop: np.ndarray, symbols: np.ndarray, freq: np.ndarray, classes: int) -> None:
+    """Move symbols to their best classes; label and joint follow."""
+    for w in symbols.tolist():
+        if not freq[w]:
+            continue
+        old, self_loop = label[w], loop[w]
+        a, b = out[w].copy(), into[w].copy()
+        a[old] -= self_loop
+        b[old] -= self_loop  # links to the others of its class only
+        base = joint.copy()
+        base[old] -= a
+        base[:, old] -= b
+        base[old, old] -= self_loop
+        np.maximum(base, 0, out=base)  # the counts beside symbols are from before the sweep
+        gain = _xlogx(base + a).sum(1) - _xlogx(base).sum(1) + _xlogx(base.T + b).sum(1) - _xlogx(base.T).sum(1)
+        d = np.diag(base)
+        gain -= _xlogx(d + a) - _xlogx(d) + _xlogx(d + b) - _xlogx(d)
+        gain += _xlogx(d + a + b + self_loop) - _xlogx(d)
+        row, col = base.sum(1), base.sum(0)
+        gain -= _xlogx(row + out[w].sum()) - _xlogx(row) + _xlogx(col + into[w].sum()) - _xlogx(col)
+        new = int(np.argmax(gain[:classes]))
+        if gain[new] <= gain[old] + 1e-9:
+            continue
+        base[new] += a
+        base[:, new] += b
+        base[new, new] += self_loop
+        joint[:] = base
+        label[w] = new
+
+
+def best_classes(after: np.ndarray, before: np.ndarray, joint: np.ndarray) -> np.ndarray:
+    """For words with counts by the class after and before (words, classes): the class that most raises the likelihood of joint; ties to the lesser."""
+    classes = len(joint) - 1
+    gain = np.zeros((len(after), classes))
+    for counts, side in ((after, joint), (before, joint.T)):
+        # side[k, j]: class k beside class j
+        w, j = np.nonzero(counts)
+        for x in range(0, len(w), 1 << 16):
+            ww, jj = w[x : x + (1 << 16)], j[x : x + (1 << 16)]
+            held = side[:classes, jj].T
+            add = _xlogx(held + counts[ww, jj][:, None]) - _xlogx(held)
+            starts = np.flatnonzero(np.concatenate(([True], ww[1:] != ww[:-1])))
+            gain[ww[starts]] += np.add.reduceat(add, starts, axis=0)
+        total = side.sum(1)[:classes]
+        gain -= _xlogx(total + counts.sum(1, keepdims=True)) - _xlogx(total)
+    return (gain >= gain.max(axis=1, keepdims=True) - 1e-9).argmax(axis=1)
+
+
+def _contexts(texts: DataFrame, shared, label: np.ndarray) -> DataFrame:
+    """Rows (word, shape, beside) of the words outside the core: for each occurrence a byte for the class before and one for the class after, its highest bit set where the word after is outside the core too."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
+        v = shared.value
+        for b in batches:
+            for chunk in _chunks(b.column(0)):
+                w = words_of(chunk)
+                symbol = v.symbols(w)
+                rest = symbol >= v.core
+                line, at = _line((label[symbol] | rest << 7)[w.code], w, int(label[-1]))
+                mine = np.flatnonzero(rest[w.code])
+                mine = mine[np.argsort(w.code[mine], kind="stable")]
+                beside = np.stack((line[at[mine] - 1] & 127, line[at[mine] + 1]), axis=1).astype(np.uint8).ravel()
+                n = np.bincount(w.code[mine], minlength=len(w.word))
+                some = np.flatnonzero(n)
+                yield pa.record_batch([w.word.take(pa.array(some)), pa.array(w.shape[some].astype(np.int32)), _binary(beside, np.concatenate(([0], np.cumsum(n[some]))) * 2)], names=["word", "shape", "beside"])
+
+    return texts.select("text").mapInArrow(rows, "word binary, shape int, beside binary")
+
+
+ASSIGNED = "word binary, shape int, c long, class int, pair int, n long"
+
+
+def _assigned(contexts: DataFrame, joint: np.ndarray) -> DataFrame:
+    """Rows (word, shape, c, class) of each word, and rows (pair, n) with the class bigrams that its class makes, word null.
+
+    A bigram is counted by its second word if that is outside the core, else by its first.
+    """
+    total = len(joint)
+
+    def choose(table: pa.Table, bigrams: np.ndarray) -> pa.RecordBatch:
+        word = table.column("word").combine_chunks().dictionary_encode()
+        which = word.indices.to_numpy()
+        raw = table.column("beside").combine_chunks()
+        ends = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1].astype(np.int64)
+        beside = np.frombuffer(raw.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(-1, 2).astype(np.int64)
+        owner = np.repeat(which, np.diff(ends) // 2)
+        n = len(word.dictionary)
+        after, before = (np.bincount(owner * total + beside[:, k] % 128, minlength=n * total).reshape(n, total) for k in (1, 0))
+        to = best_classes(after, before, joint)
+        np.add.at(bigrams, beside[:, 0] * total + to[owner], 1)
+        ends_core = beside[:, 1] < 128
+        np.add.at(bigrams, to[owner[ends_core]] * total + beside[ends_core, 1], 1)
+        shape = np.zeros(n, np.int32)
+        shape[which] = table.column("shape").to_numpy()
+        nothing = pa.nulls(n, pa.int32())
+        return pa.record_batch([word.dictionary, pa.array(shape), pa.array(after.sum(1)), pa.array(to.astype(np.int32)), nothing, nothing.cast(pa.int64())], names=["word", "shape", "c", "class", "pair", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
+        bigrams = np.zeros(total * total, np.int64)
+        held: list[pa.RecordBatch] = []
+        rows = 0
+        for b in batches:
+            if not b.num_rows:
                 continue
-            old, self_loop = label[w], n[w, w]
-            a, b = out[w].copy(), into[w].copy()
-            a[old] -= self_loop
-            b[old] -= self_loop  # links to the others of its class only
-            base = joint.copy()
-            base[old] -= a
-            base[:, old] -= b
-            base[old, old] -= self_loop
-            gain = _xlogx(base + a).sum(1) - _xlogx(base).sum(1) + _xlogx(base.T + b).sum(1) - _xlogx(base.T).sum(1)
-            d = np.diag(base)
-            gain -= _xlogx(d + a) - _xlogx(d) + _xlogx(d + b) - _xlogx(d)
-            gain += _xlogx(d + a + b + self_loop) - _xlogx(d)
-            row, col = base.sum(1), base.sum(0)
-            gain -= _xlogx(row + n[w].sum()) - _xlogx(row) + _xlogx(col + n[:, w].sum()) - _xlogx(col)
-            new = int(np.argmax(gain[:classes]))
-            if gain[new] <= gain[old] + 1e-9:
+            held.append(b)
+            rows += b.num_rows
+            if rows < 40_000:
                 continue
-            base[new] += a
-            base[:, new] += b
-            base[new, new] += self_loop
-            joint = base
-            label[w] = new
-            out[:, old] -= n[:, w]
-            out[:, new] += n[:, w]
-            into[:, old] -= n[w]
-            into[:, new] += n[w]
-            moved += 1
-        if not moved:
-            break
-    return label
-
+            table = pa.Table.from_batches(held).combine_chunks()
+            same = pc.equal(table.column("word"), table.column("word")[-1]).combine_chunks()
+            stop = table.num_rows - int(pc.sum(same.cast(pa.int64())).as_py())  # the last word may go on
+            if stop:
+                yield choose(table.slice(0, stop), bigrams)
+            held = table.slice(stop).to_batches()
+            rows = table.num_rows - stop
+        if rows:
+            yield choose(pa.Table.from_batches(held).combine_chunks(), bigrams)
+        pair = np.flatnonzero(bigrams)
+        if len(pair):
+            no = pa.nulls(len(pair), pa.int32())
+            yield pa.record_batch([pa.nulls(len(pair), pa.binary()), no, no.cast(pa.int64()), no, pa.array(pair.astype(np.int32)), pa.array(bigrams[pair])], names=["word", "shape", "c", "class", "pair", "n"])
 
-def frequent_from(counts: DataFrame, most: int) -> int:
-    """A count that at most so many words reach. Words are counted by buckets of counts, 64 to a power of two, so few rows come back."""
-    bucket = F.floor(F.log2(F.col("c")) * 64).cast("int")
-    rows = counts.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"), F.min("c").alias("c")).orderBy(F.desc("b")).collect()
-    words, least = 0, (rows[0]["c"] << 7 if rows else 1)
-    for r in rows:
-        words += r["n"]
-        if words > most:
-            break
-        least = r["c"]
-    return least
+    return contexts.repartition("word").sortWithinPartitions("word").mapInArrow(run, ASSIGNED)
 
 
-def frequent_words(counts: DataFrame) -> list[tuple[bytes, int, int]]:
-    """(word, shape, count), from the most frequent on, ties by word."""
-    t = counts.select("word", "shape", "c").toArrow()
-    rows = zip(t.column("word").to_pylist(), t.column("shape").to_pylist(), t.column("c").to_pylist())
-    return sorted(rows, key=lambda r: (-r[2], r[0]))
+# the model
 
 
 @dataclass(frozen=True)
 class ClassModel:
-    label: np.ndarray  # class of each symbol
     step: np.ndarray  # log10 of class transitions
-    emit: np.ndarray  # log10 P(symbol | class), with the divisor of the words that share the symbol
+    mass: np.ndarray  # log10 of each class's divisor
+    unseen: np.ndarray  # log10 P(word | class) of a word of each shape that was never seen
+    shape_class: np.ndarray
+    label: np.ndarray  # class of each frequent word
     tokens: int  # N
     distinct: int  # V
     ends: int
 
 
-def class_model(bigrams: np.ndarray, clustered: int, shapes: dict[int, tuple[int, int]], tokens: int, distinct: int, ends: int, classes: int = CLASSES) -> ClassModel:
-    """shapes: the tokens and the distinct words of each shape, the clustered words not counted."""
-    size = len(bigrams)
-    label = exchange(bigrams, classes)
-    total = int(label.max()) + 1
-    member = np.zeros((size, total))
-    member[np.arange(size), label] = 1
-    joint = member.T @ bigrams @ member
+def class_model(joint: np.ndarray, shape_class: np.ndarray, class_tokens: np.ndarray, once: np.ndarray, distinct_of: np.ndarray, label: np.ndarray, tokens: int, distinct: int, ends: int) -> ClassModel:
+    """class_tokens: tokens of the words of each class; once and distinct_of: words seen once, and words, of each shape."""
+    total = len(joint)
     step = np.log10((joint + ALPHA) / (joint.sum(1, keepdims=True) + ALPHA * total))
-    seen = bigrams.sum(axis=0).astype(np.float64)
-    inside = member.T @ (seen + ALPHA)
-    emit = np.log10((seen + ALPHA) / inside[label])
-    for k in range(SHAPES):
-        n, v = shapes.get(k, (0, 0))
-        emit[clustered + k] -= np.log10(n + v + 1)
-    return ClassModel(label, step, emit, tokens, distinct, ends)
-
-
-def score_texts(texts: list[str | None], v: Vocabulary, model: ClassModel) -> list[tuple[bytes, Counter]]:
-    """For each text the packed sums over its frequent words, and the other words with their numbers."""
-    boundary = len(model.label) - 1
-    out = []
-    log_count = np.log10(v.count + 1.0)
-    for t in texts:
-        words = words_of(t)
-        place, symbol = v.symbols(words)
-        line = np.concatenate(([boundary], symbol, [boundary]))
-        c = model.label[line]
-        local = model.step[c[:-1], c[1:]].sum() + model.emit[line[1:]].sum()
-        known = place >= 0
-        logs = log_count[place[known]]
-        shaped = symbol[known] >= v.clustered
-        packed = LOCAL.pack(len(words) + 1, int(known.sum()) + (model.ends > 0), float(logs.sum()) + np.log10(model.ends + 1.0), float(logs[shaped].sum()), float(local))
-        out.append((packed, Counter(words[i] for i in np.flatnonzero(~known).tolist())))
-    return out
+    spare = once + 1.0
+    mass = class_tokens.astype(np.float64)
+    np.add.at(mass, shape_class, spare)
+    mass[-1] = 1  # the boundary's class has the end alone
+    mass = np.log10(np.maximum(mass, 1))
+    return ClassModel(step, mass, np.log10(spare / (distinct_of + 1.0)) - mass[shape_class], shape_class, label, tokens, distinct, ends)
+
+
+DOC = "line binary, holes binary, doc_id long, held_out boolean, known long, logs double, emitted double"
 
 
 def _score_rows(docs: DataFrame, shared) -> DataFrame:
-    """Rows (word, uid, n) of each document's other words, and one row with its sums, whose word holds a space and so matches none."""
+    """A row for each document with its line of classes, in which words that are not frequent are holes, and a row for each different such word of it.
+
+    A document's rows are tied by x and y; the word of its own row holds a space and so matches none.
+    """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uid = TaskContext.get().partitionId() << 33
+        settle()
         v, model = shared.value
+        log_count, log_next = np.log10(np.maximum(v.count, 1)), np.log10(v.count + 1.0)
+        emit = log_count - model.mass[model.label] if len(v.count) else log_count
+        names = ["word", "x", "y", "k", "shape", *(c.split()[0] for c in DOC.split(", "))]
         for b in batches:
-            for k in range(0, b.num_rows, 500):
-                part = b.slice(k, 500)
-                word, owner, n, packed, held = [], [], [], [], []
-                ids = part.column(0).to_pylist()
-                for i, (sums, rest) in enumerate(score_texts(part.column(2).to_pylist(), v, model)):
-                    word.append(b" " + uid.to_bytes(8, "big"))
-                    owner.append(uid)
-                    n.append(0)
-                    held.append(part.column(1)[i].as_py())
-                    packed.append(pack_sums(ids[i], sums))
-                    word += rest
-                    owner += [uid] * len(rest)
-                    n += rest.values()
-                    held += [None] * len(rest)
-                    packed += [None] * len(rest)
-                    uid += 1
-                yield pa.record_batch([pa.array(word, pa.binary()), pa.array(owner, pa.int64()), pa.array(n, pa.int32()), pa.array(packed, pa.binary()), pa.array(held, pa.bool_())], names=["word", "uid", "n", "packed", "held_out"])
-
-    return docs.select("doc_id", "held_out", "text").mapInArrow(score, "word binary, uid long, n int, packed binary, held_out boolean")
-
-
-def pack_sums(doc_id: int | None, sums: bytes) -> bytes:
-    return OWNER.pack(doc_id is None, doc_id or 0) + sums
-
-
-def unpack_sums(packed: bytes) -> tuple:
-    null, doc_id = OWNER.unpack_from(packed)
-    return (None if null else doc_id, *LOCAL.unpack_from(packed, OWNER.size))
-
-
-def _unpack(rows: DataFrame) -> DataFrame:
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_tokens", "known", "log_counts", "log_shared", "local"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+            done = 0
+            for chunk in _chunks(b.column(4)):
+                m = len(chunk)
+                x, y = (b.column(i).slice(done, m).to_numpy() for i in (0, 1))
+                w = words_of(chunk)
+                place = v.places(w.word)
+                known = place[w.code] >= 0
+                at = place[w.code[known]]
+                line = np.full(len(w.code), HOLE, np.uint8)
+                line[known] = model.label[at]
+                per = [np.bincount(w.text[known], weights=g, minlength=m) for g in (log_next[at], emit[at])]
+                pair, first, hole = np.unique(w.text[~known] * len(w.word) + w.code[~known], return_index=True, return_inverse=True)
+                order = np.argsort(first)  # by first occurrence, so that copies of a document number alike
+                pair, hole = pair[order], np.argsort(order)[hole]
+                owner, word = (pair // len(w.word), pair % len(w.word)) if len(pair) else (pair, pair)
+                k = np.arange(len(pair)) - np.searchsorted(owner, np.arange(m))[owner]
+                ends = np.concatenate(([0], np.cumsum(np.bincount(w.text, minlength=m))))
+                hole_ends = np.concatenate(([0], np.cumsum(np.bincount(w.text[~known], minlength=m)))) * 4
+                own = np.concatenate((np.full((m, 1), 32, np.uint8), x[:, None].copy().view(np.uint8).reshape(m, 8)), axis=1)
+                no = pa.nulls(m, pa.int32())
+                yield pa.record_batch(
+                    [
+                        _binary(own.ravel(), np.arange(m + 1) * 9),
+                        pa.array(x),
+                        pa.array(y),
+                        no,
+                        no,
+                        _binary(line, ends),
+                        _binary(k[hole].astype("<u4").view(np.uint8) if len(hole) else np.zeros(0, np.uint8), hole_ends),
+                        b.column(2).slice(done, m),
+                        b.column(3).slice(done, m),
+                        pa.array(np.bincount(w.text[known], minlength=m)),
+                        pa.array(per[0], pa.float64()),
+                        pa.array(per[1], pa.float64()),
+                    ],
+                    names=names,
+                )
+                if len(pair):
+                    n = len(pair)
+                    blank = [pa.nulls(n, t) for t in (pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.float64(), pa.float64())]
+                    yield pa.record_batch([w.word.take(pa.array(word)), pa.array(x[owner]), pa.array(y[owner]), pa.array(k.astype(np.int32)), pa.array(w.shape[word].astype(np.int32)), *blank], names=names)
+                done += m
+
+    return docs.select("x", "y", "doc_id", "held_out", "text").mapInArrow(score, "word binary, x long, y long, k int, shape int, " + DOC)
+
+
+def _scored(rows: DataFrame, shared) -> DataFrame:
+    """Rows (d, copies, words) to scores: holes are filled with the classes of the words that were found."""
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
+        _, model = shared.value
+        boundary = len(model.step) - 1
         for b in batches:
-            got = [unpack_sums(p) for p in b.column(0).to_pylist()]
-            if got:
-                rest = [b.column(i) for i in range(1, b.num_columns)]
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*got), kinds)] + rest, names=names + list(b.schema.names[1:]))
-
-    return rows.mapInArrow(unpack, "doc_id long, n_tokens long, known long, log_counts double, log_shared double, local double, held_out boolean, more_known long, more_log double")
-
-
-def score(docs: DataFrame, folds: int = 7, held: int = 2, frequent: int = FREQUENT, clustered: int = CLUSTERED) -> DataFrame:
+            m = b.num_rows
+            if not m:
+                continue
+            d, copies, words = b.column(0), b.column(1).to_numpy(), b.column(2)
+            line, line_ends = _flat(d.field("line"), np.uint8)
+            hole, hole_ends = _flat(d.field("holes"), np.dtype("<u4"))
+            each = np.diff(words.offsets.to_numpy())
+            got = words.flatten()
+            owner = np.repeat(np.arange(m), each)
+            base = np.cumsum(each) - each
+            slot = base[owner] + got.field("k").to_numpy()
+            c, cls, shape = (np.zeros(len(owner), np.int64) for _ in range(3))
+            seen_here = np.array(got.field("c").is_valid())
+            c[slot] = pc.fill_null(got.field("c"), 0).to_numpy()
+            shape[slot] = got.field("shape").to_numpy()
+            cls[slot] = np.where(seen_here, pc.fill_null(got.field("class"), 0).to_numpy(), model.shape_class[got.field("shape").to_numpy()])
+            text = np.repeat(np.arange(m), np.diff(line_ends))
+            whole = line.astype(np.int64)
+            at = np.flatnonzero(line == HOLE)
+            of = base[text[at]] + hole
+            whole[at] = cls[of]
+            found = c[of] > 0
+            seen = np.bincount(text[at][found], minlength=m)
+            logs = np.bincount(text[at][found], weights=np.log10(c[of][found] + 1.0), minlength=m)
+            emitted = np.bincount(text[at], weights=np.where(found, np.log10(np.maximum(c[of], 1)) - model.mass[cls[of]], model.unseen[shape[of]]), minlength=m)
+            full = np.full(len(whole) + m + 1, boundary)
+            full[np.arange(len(whole)) + text + 1] = whole
+            steps = model.step[full[:-1], full[1:]]
+            last = line_ends[1:] + np.arange(m)  # each text's step to its end
+            stepped = np.add.reduceat(steps, np.concatenate(([0], last[:-1] + 1)))
+            again = pa.array(np.repeat(np.arange(m), copies))
+            n_tokens = np.diff(line_ends) + 1
+            n_known = d.field("known").to_numpy() + seen + (model.ends > 0)
+            log_counts = d.field("logs").to_numpy() + logs + np.log10(model.ends + 1.0)
+            base_score = log_counts - n_tokens * np.log10(model.tokens + model.distinct + 1)
+            score = stepped + emitted + d.field("emitted").to_numpy()
+            cols = [d.field("doc_id"), d.field("held_out"), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(m, model.tokens)), pa.array(base_score), pa.array(score), pa.array(10.0 ** (-score / n_tokens))]
+            yield pa.record_batch([x.take(again) for x in cols], names=[s.split()[0] for s in SCORES.split(", ")])
+
+    return rows.mapInArrow(finish, SCORES)
+
+
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
+
+
+def _flat(column: pa.BinaryArray, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a binary column, and where each row's begin and end."""
+    width = np.dtype(dtype).itemsize
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    return raw.copy().view(dtype), (ends - ends[0]) // width
+
+
+def score(docs: DataFrame, folds: int = 7, held: int = 2, frequent: int = FREQUENT, core: float = CORE, classes: int = CLASSES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and perplexity of each row of docs (doc_id, text).
 
     Training takes every row outside the held-out fold, however many. A null text is empty: its end token
@@ -306,50 +536,69 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, frequent: int = FREQUE
     and the model is uniform over its classes. Other columns are not read; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    texts = docs.select("doc_id", (fold("doc_id", folds) == held).alias("held_out"), "text")
+    key = [F.col("doc_id"), F.col("doc_id").isNull(), F.coalesce("text", F.lit(""))]
+    texts = docs.select(F.xxhash64(*key).alias("x"), F.xxhash64(F.lit(1), *key).alias("y"), F.col("doc_id").cast("long").alias("doc_id"), (fold("doc_id", folds) == held).alias("held_out"), "text")
     train = texts.where(~F.col("held_out"))
     counts = cut(count_words(train), "lm-counts")
     ends = train.count()
     sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = (sums["n"] or 0) + ends, sums["v"] + (ends > 0)
     least = frequent_from(counts, frequent)
-    top = frequent_words(counts.where(F.col("c") >= least))  # bounded by frequent
-    v = vocabulary(top, clustered)
-    size = v.clustered + SHAPES + 1
-    pairs = count_bigrams(train, spark.sparkContext.broadcast(v), size).toArrow()  # at most size * size rows
-    bigrams = np.zeros(size * size, np.int64)
-    bigrams[pairs.column("pair").to_numpy()] = pairs.column("n").to_numpy()
-    own: dict[int, list[int]] = {}
-    for _, k, c in top[: v.clustered]:
-        own.setdefault(k, [0, 0])
-        own[k][0] += c
-        own[k][1] += 1
-    shapes = {}
-    for r in counts.groupBy("shape").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
-        less = own.get(r["shape"], (0, 0))
-        shapes[r["shape"]] = (r["n"] - less[0], r["v"] - less[1])
-    model = class_model(bigrams.reshape(size, size), v.clustered, shapes, tokens, distinct, ends)
-    rare = counts.where(F.col("c") < least)
-    rows = _score_rows(texts, spark.sparkContext.broadcast((v, model)))
-    joined = rows.join(rare.select("word", "c"), "word", "left")
-    n = F.col("n").cast("long")
-    per_doc = joined.groupBy("uid").agg(
-        F.max("packed").alias("packed"),
-        F.max("held_out").alias("held_out"),
-        F.sum(F.when(F.col("c").isNotNull(), n).otherwise(0)).alias("more_known"),
-        F.sum(F.when(F.col("c").isNotNull(), n * F.log10(F.col("c") + 1.0)).otherwise(0.0)).alias("more_log"),
-    )
-    got = _unpack(per_doc.select("packed", "held_out", "more_known", "more_log"))
-    divisor = float(np.log10(tokens + distinct + 1))
-    base = F.col("log_counts") + F.col("more_log") - F.col("n_tokens") * F.lit(divisor)
-    total = F.col("local") + F.col("log_shared") + F.col("more_log")
-    return got.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("known") + F.col("more_known")).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        base.alias("base_score"),
-        total.alias("score"),
-        F.pow(F.lit(10.0), -total / F.col("n_tokens")).alias("perplexity"),
-    )
+    v = vocabulary(counts, least, core * tokens)  # bounded by frequent
+    shared = spark.sparkContext.broadcast(v)
+    bigrams = cut(count_bigrams(train, shared), "lm-bigrams")
+    total = max(1, min(classes, v.size - 1)) + 1
+    loops = bigrams.where("a = b").toArrow()  # at most one row for each symbol
+    loop = np.zeros(v.size)
+    loop[loops.column("a").to_numpy()] = loops.column("n").to_numpy()
+    vectors = class_vectors(bigrams, v.size, total)
+    label = exchange(loop, vectors, classes)
+    joint = np.zeros((total, total))
+    np.add.at(joint, label, vectors(label)[0])
+    assigned = cut(_assigned(_contexts(train, shared, label), joint), "lm-classes")
+    final = _core_bigrams(bigrams, v.core, label, total)
+    made = assigned.where("word is null").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most total * total rows
+    final.ravel()[made.column("pair").to_numpy()] += made.column("n").to_numpy()
+    rest = assigned.where("word is not null").select("word", "shape", "c", "class")
+    class_tokens = np.bincount(label[: v.core], weights=v.count[: v.core], minlength=total)
+    for r in rest.groupBy("class").agg(F.sum("c").alias("n")).collect():
+        class_tokens[r["class"]] += r["n"]
+    once, distinct_of = np.zeros(SHAPES), np.zeros(SHAPES)
+    for r in counts.groupBy("shape").agg(F.count("*").alias("v"), F.sum((F.col("c") == 1).cast("long")).alias("once")).collect():
+        once[r["shape"]], distinct_of[r["shape"]] = r["once"], r["v"]
+    model = class_model(final, label[v.core : v.core + SHAPES], class_tokens, once, distinct_of, _labels(v, label, rest, least), tokens, distinct, ends)
+    shared = spark.sparkContext.broadcast((v, model))
+    rows = _score_rows(texts, shared)
+    joined = rows.join(rest.where(F.col("c") < least).select("word", "c", "class"), "word", "left")
+    doc = [c.split()[0] for c in DOC.split(", ")]
+    found = F.when(F.col("line").isNull(), F.struct("k", "c", "class", "shape"))
+    per_doc = joined.groupBy("x", "y").agg(F.max(F.struct(*doc)).alias("d"), F.sum(F.col("line").isNotNull().cast("long")).alias("copies"), F.collect_set(found).alias("words"))
+    return _scored(per_doc.select("d", "copies", "words"), shared)
+
+
+def _core_bigrams(bigrams: DataFrame, core: int, label: np.ndarray, total: int) -> np.ndarray:
+    """Class bigrams of the pairs in which neither symbol is a shape."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(total * total, np.int64)
+        for batch in batches:
+            a, b, n = (c.to_numpy().astype(np.int64) for c in batch.columns)
+            inside = ((a < core) | (a == len(label) - 1)) & ((b < core) | (b == len(label) - 1))
+            np.add.at(sums, (label[a] * total + label[b])[inside], n[inside])
+        yield pa.record_batch([pa.array(np.arange(total * total)), pa.array(sums)], names=["pair", "n"])
+
+    got = bigrams.mapInArrow(add, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros((total, total))
+    out.ravel()[got.column("pair").to_numpy()] = got.column("n").to_numpy()
+    return out
+
+
+def _labels(v: Vocabulary, label: np.ndarray, rest: DataFrame, least: int) -> np.ndarray:
+    """The class of each frequent word."""
+    got = rest.where(F.col("c") >= least).select("word", "class").toArrow()  # bounded as the frequent words are
+    out = np.zeros(len(v.count), dtype=np.int64)
+    out[: v.core] = label[: v.core]
+    if len(got):
+        word = got.column("word").combine_chunks()
+        out[v.places(word.combine_chunks() if isinstance(word, pa.ChunkedArray) else word)] = got.column("class").to_numpy()
+    return out

@@ -309,19 +309,104 @@ def test_language_model_base_scores(docs, odd_rows, frequent):
         w = words_of(lower(r[1] or ""))
         base = sum(math.log10((count[x] + 1) / (n + v + 1)) for x in w) + math.log10((ends + 1) / (n + v + 1))
         want[r[0], held(r[0]), len(w) + 1, sum(count[x] > 0 for x in w) + 1, n, round(base, 4)] += 1
-    rows = brown_lm.score(docs, frequent=frequent, clustered=50).collect()
+    rows = brown_lm.score(docs, frequent=frequent, core=0.01).collect()
     assert Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4)) for r in rows) == want
     assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in rows)
 
 
-def test_language_model_is_a_distribution_over_steps():
-    bigrams = np.array([[0, 9, 1, 2], [8, 0, 1, 1], [1, 1, 0, 3], [3, 2, 4, 0]])
-    bigrams = np.pad(bigrams, ((0, brown_lm.SHAPES), (0, brown_lm.SHAPES)))
-    size = len(bigrams)
-    model = brown_lm.class_model(bigrams, size - brown_lm.SHAPES - 1, {}, 10, 5, 2, classes=3)
+def slow_scores(rows, held, classes, core_share):
+    """The same model in plain Python; the core's classes come from exchange() over dense bigrams."""
+    texts = [(r[0], [w.encode("utf-8", "replace") for w in words_of(lower(r[1] or ""))]) for r in rows]
+    train = [w for i, w in texts if not held(i)]
+    count = Counter(w for t in train for w in t)
+    shape = {w: int(brown_lm.words_of([w]).shape[0]) for _, t in texts for w in t}
+    tokens = sum(count.values()) + len(train)
+    core = sorted((w for w in count if count[w] >= core_share * tokens), key=lambda w: (-count[w], w))
+    number = {w: i for i, w in enumerate(core)}
+    size = len(core) + brown_lm.SHAPES + 1
+    symbol = lambda w: number.get(w, len(core) + shape[w])
+    dense = np.zeros((size, size))
+    for t in train:
+        line = [size - 1, *map(symbol, t), size - 1]
+        for a, b in zip(line, line[1:]):
+            dense[a, b] += 1
+    label = brown_lm.exchange(np.diag(dense), dense_vectors(dense, classes + 1), classes)
+    joint = np.zeros((classes + 1, classes + 1))
+    for a, b in np.argwhere(dense):
+        joint[label[a], label[b]] += dense[a, b]
+    f = lambda x: x * math.log(x) if x > 0 else 0.0
+    of = {w: int(label[number[w]]) for w in core}
+    for w in count:
+        if w in number:
+            continue
+        after, before = Counter(), Counter()
+        for t in train:
+            for i, u in enumerate(t):
+                if u == w:
+                    before[int(label[symbol(t[i - 1]) if i else -1])] += 1
+                    after[int(label[symbol(t[i + 1]) if i + 1 < len(t) else -1])] += 1
+        gain = []
+        for k in range(classes):
+            g = sum(f(joint[k, j] + n) - f(joint[k, j]) for j, n in after.items()) + sum(f(joint[j, k] + n) - f(joint[j, k]) for j, n in before.items())
+            n, row, col = count[w], joint[k].sum(), joint[:, k].sum()
+            gain.append(g - f(row + n) + f(row) - f(col + n) + f(col))
+        of[w] = next(k for k in range(classes) if gain[k] >= max(gain) - 1e-9)
+    final = np.zeros_like(joint)
+    near = lambda w: int(label[symbol(w)])
+    for t in train:
+        line = [None, *t, None]
+        for a, b in zip(line, line[1:]):
+            rare_b, rare_a = b is not None and b not in number, a is not None and a not in number
+            first = classes if a is None else near(a) if rare_b or not rare_a else of[a]
+            final[first, classes if b is None else of[b]] += 1
+    step = np.log10((final + brown_lm.ALPHA) / (final.sum(1, keepdims=True) + brown_lm.ALPHA * (classes + 1)))
+    shape_class = label[len(core) : -1]
+    spare = [1 + sum(count[w] == 1 and shape[w] == k for w in count) for k in range(brown_lm.SHAPES)]
+    mass = [sum(count[w] for w in count if of[w] == c) + sum(s for s, k in zip(spare, shape_class) if k == c) for c in range(classes)]
+    out = []
+    for doc_id, t in texts:
+        total, last = 0.0, classes
+        for w in t:
+            c = of[w] if w in of else int(shape_class[shape[w]])
+            p = count[w] / mass[c] if w in of else spare[shape[w]] / mass[c] / (1 + sum(shape[u] == shape[w] for u in count))
+            total += step[last, c] + math.log10(p)
+            last = c
+        out.append((doc_id, round(total + step[last, classes], 4)))
+    return Counter(out)
+
+
+def dense_vectors(n, total):
+    def vectors(label):
+        m = np.eye(total)[label]
+        return n @ m, n.T @ m
+
+    return vectors
+
+
+@pytest.mark.parametrize("frequent", [100_000, 20])
+def test_language_model_scores_match_a_slow_model(spark, frequent):
+    r = random.Random(11)
+    names = [f"w{i}" for i in range(40)] + ["Über.", "x,", "longerword", "9", "naïve"]
+    rows = [(i, " ".join(r.choice(names[: r.choice([4, 12, 45])]) if r.random() < 0.97 else f"rare{r.randrange(99)}" for _ in range(r.randint(0, 40)))) for i in range(60)]
+    rows += [(None, "w1 w2 unseen"), (None, None), (5, rows[5][1])]
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    share = 0.01 if frequent > 100 else 0.03
+    got = brown_lm.score(spark.createDataFrame(rows, "doc_id long, text string"), frequent=frequent, core=share, classes=6).collect()
+    assert Counter((x["doc_id"], round(x["score"], 4)) for x in got) == slow_scores(rows, held, 6, share)
+
+
+def test_classes_are_a_distribution():
+    joint = np.array([[0, 9, 1], [8, 0, 1], [1, 1, 0]])
+    shape_class = np.arange(brown_lm.SHAPES) % 2
+    words = np.array([4.0, 3.0, 2.0, 1.0])
+    label = np.array([0, 1, 0, 1])
+    model = brown_lm.class_model(joint, shape_class, np.array([6.0, 4.0, 0.0]), np.full(brown_lm.SHAPES, 2.0), np.full(brown_lm.SHAPES, 5.0), label, 10, 4, 2)
     assert np.allclose((10**model.step).sum(axis=1), 1)
-    for c in range(int(model.label.max()) + 1):
-        assert abs((10 ** model.emit[model.label == c]).sum() - 1) < 1e-9
+    for c in range(2):
+        seen = (words[label == c] / 10 ** model.mass[c]).sum()
+        # six words of a shape share what it has for those never seen
+        unseen = (10 ** model.unseen[shape_class == c] * 6).sum()
+        assert abs(seen + unseen - 1) < 1e-9
 
 
 def test_exchange_raises_the_likelihood():
@@ -336,9 +421,10 @@ def test_exchange_raises_the_likelihood():
         f = lambda x: (x[x > 0] * np.log(x[x > 0])).sum()
         return f(j) - f(j.sum(0)) - f(j.sum(1))
 
-    label = brown_lm.exchange(n, 4)
+    label = brown_lm.exchange(np.diag(n).astype(float), dense_vectors(n, 5), 4)
     start = np.append(np.arange(29) % 4, 4)
     assert value(label) > value(start)
+    assert len(set(label[:10])) * len(set(label[10:20])) < 9  # the two groups come apart
     assert label[-1] == label.max() and (label == label[-1]).sum() == 1
 
 
