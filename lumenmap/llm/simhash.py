@@ -268,7 +268,7 @@ def components(prints: DataFrame, id_col: str = "doc_id", radius: int = RADIUS)
     named = cut(named, "simhash-prints")
     stars = connect(links(named.select("fp"), radius), "simhash-links")
     root = named.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("least", "fp").alias("root"), "least_id")
-    owner = root.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    owner = cut(root.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash-owners")  # a join of written tables can part a skewed key
     class_of = root.join(owner, "root").select("fp", "root", "component_id")
     return prints.join(class_of, "fp").select(id_col, "fp", F.coalesce("component_id", F.col(id_col)).alias("component_id"), "root")
 

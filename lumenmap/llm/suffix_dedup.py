@@ -275,6 +275,7 @@ def _ends(at: str = "at") -> list[Column]:
 def _undecided(classes: DataFrame, large: int) -> DataFrame:
     """Of classes (place, own, n, one): those at places where a single run has others beside it."""
     places = classes.groupBy("place").agg(F.count("*").alias("runs"), F.sum((F.col("n") == 1).cast("long")).alias("singles")).where("singles > 0 and runs > 1")
+    places = cut(places, "passages-places")  # a join of written tables can part a skewed key
     return classes.join(places, "place").select("place", "one.*", (F.col("n") == 1).alias("single"), (F.col("runs") > large).alias("hot"))
 
 
@@ -286,7 +287,7 @@ def repeated(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length
     """
     keyed = with_key(docs, text, id_col)
     runs = _runs(keyed, length, gap)
-    often = runs.groupBy("place").count().where("count > 1").select("place")
+    often = cut(runs.groupBy("place").count().where("count > 1").select("place"), "passages-often")  # a join of written tables can part a skewed key
     found = cut(runs.join(often, "place"), "passages-runs")
     classes = found.groupBy("place", "own").agg(F.count("*").alias("n"), F.min(F.struct("x", "y", "at")).alias("one"))
     classes = cut(classes, "passages-classes")
