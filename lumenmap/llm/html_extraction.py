@@ -48,7 +48,7 @@ WORDS = {
 }
 KIND_OF = {w: k for k, words in enumerate(WORDS.values()) for w in words}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*(?:\"|$)|=\s*'[^']*(?:'|$)|[^>])*+)(?:>|$)", re.S)  # a quote inside an unquoted value is part of it
 # An option ends at its end tag, or else before the next option or the end of a block around it.
 _OPTION_STOP = re.compile(r"(</option\s*>)|<(?:option|optgroup)(?=[\s/>])|</(?!(?:" + "|".join(sorted(INLINE)) + r")[\s>])[a-z]", re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -88,6 +88,7 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
     blocks = [Block("#root", -1, 0, 0, 0)]
     texts: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = [("#root", 0)]  # open elements and the block that they are in
+    opened: Counter[str] = Counter()  # of names on the stack, so that none is looked for in vain
     run: list[str] = []
     in_link = 0
     hidden = 0  # depth of the stack at which text is not shown
@@ -122,6 +123,7 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
             elif name == "a":
                 in_link = max(0, in_link - 1)
             stack.pop()
+            opened[name] -= 1
         if hidden and len(stack) < hidden:
             hidden = 0
 
@@ -139,7 +141,7 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
             continue
         name = name.lower()
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened[name] else ():
                 if stack[i][0] == name:
                     close_to(i)
                     break
@@ -169,11 +171,12 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
             if name == "a":
                 in_link += 1
             stack.append((name, stack[-1][1]))
+            opened[name] += 1
             continue
         if name in CLOSES_P or name in ("li", "dt", "dd", "tr", "td", "th"):
             bar = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}.get(name, ())
             same = ("p",) if name in CLOSES_P else ("dt", "dd") if name in ("dt", "dd") else ("td", "th") if name in ("td", "th") else (name,)
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if any(opened[x] for x in same) else ():
                 open_name = stack[i][0]
                 if open_name in same:
                     close_to(i)
@@ -186,6 +189,7 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
         blocks.append(Block(name, parent, p.depth + 1, attribute_kinds(m[3]) if m[3] else 0, len(p.children)))
         p.children.append(len(blocks) - 1)
         stack.append((name, len(blocks) - 1))
+        opened[name] += 1
         if name in UNSEEN and not hidden:
             hidden = len(stack)
         elif name == "body":
@@ -459,5 +463,9 @@ def text_column(page: str | Column = "html", trees: Trees | None = None) -> Colu
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and n_chars (code points) of each row of pages. A map without a shuffle; other columns are not read."""
+    """page_id, url, text and n_chars (code points) of each row of pages, whole pages of any length.
+
+    A map without a shuffle. A null or empty page, or one without text, gives an empty text; repeated rows are
+    read each for itself; other columns are not read; an empty table gives an empty result.
+    """
     return pages.select("page_id", "url", text_column().alias("text")).withColumn("n_chars", F.length("text").cast("long"))

@@ -295,7 +295,8 @@ def _slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
 def encode(docs: DataFrame, model: str, rate: float = RATE, seed: int = SEED) -> DataFrame:
     """doc_id, n_bytes, n_ids and ids (little-endian) of each row of docs (doc_id, text); a null text is empty and has no ids.
 
-    A map without a shuffle. Equal texts of the same id are encoded alike, of other ids in their own way.
+    A map without a shuffle. Equal texts of the same id are encoded alike, of other ids in their own way; a null
+    id is one more id. Other columns are not read; an empty table gives an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,7 +324,7 @@ def decoded(encoded: DataFrame, model: str) -> DataFrame:
 
 
 def digest(docs: DataFrame, model: str, rate: float = RATE, seed: int = SEED) -> DataFrame:
-    """doc_id, n_bytes, n_ids, ids_crc32 (of the ids as little-endian unsigned 32-bit integers) and decoded_sha256."""
+    """doc_id, n_bytes, n_ids, ids_crc32 (of the ids as little-endian unsigned 32-bit integers) and decoded_sha256 of each row; see encode for odd rows."""
     got = decoded(encode(docs, model, rate, seed), model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

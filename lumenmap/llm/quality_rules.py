@@ -3,12 +3,13 @@
 The countable part takes words, lines and 3-word windows of the whole text. The classifier is a logistic
 regression over hashed words, word pairs and 4-byte windows, each kind as shares of its own total, so that
 the score of a text is a mean of weights and long texts are scored in one pass without a feature vector.
-Both are computed over the bytes of a batch with array operations. Words are told apart by a 64-bit hash of
-their bytes; within one text two different words agree with a chance of about 1 in 2**64 a pair.
+Both are computed over the bytes of a batch with array operations. Windows that may be equal are found by hashes
+of their words and then compared by their bytes, so the counts are exact.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -102,7 +103,7 @@ def base_counts(texts: list[bytes], w: Words | None = None) -> dict[str, np.ndar
         again = np.zeros(len(order), dtype=bool)
         again[1:] |= same
         again[:-1] |= same
-        hit = order[again]
+        hit = _equal_windows(w, order[again])
         for k in range(3):
             repeat[hit + k] = True
     lines = np.zeros(n, np.int64)
@@ -123,6 +124,14 @@ def base_counts(texts: list[bytes], w: Words | None = None) -> dict[str, np.ndar
     }
 
 
+def _equal_windows(w: Words, at: np.ndarray) -> np.ndarray:
+    """Of 3-word windows whose hashes agree, those that have an equal one in their text."""
+    data, begin, end, doc = w.buf.tobytes(), w.at, w.end, w.doc
+    keys = [(d, *(data[x:y] for x, y in zip(begin[i : i + 3].tolist(), end[i : i + 3].tolist()))) for i, d in zip(at.tolist(), doc[at].tolist())]
+    count = Counter(keys)
+    return at[np.fromiter((count[k] > 1 for k in keys), bool, len(keys))]
+
+
 def _slots(w: Words) -> list[tuple[np.ndarray, np.ndarray]]:
     """For words, word pairs and 4-byte windows: the slot and the text of each occurrence. Each kind has its own SIZE slots."""
     shift = np.uint64(64 - BITS)

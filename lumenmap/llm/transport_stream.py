@@ -151,15 +151,15 @@ def _stream_pids(body: bytes) -> frozenset[int]:
 def demux(data: bytes, strict: bool = True) -> Stream:
     """Read a stream of one program and one elementary stream.
 
-    A duplicate packet (same counter, next to its original) is skipped, as the format allows. Another break
-    in the counters is an error if strict, else it is counted and the packet is read on.
+    A duplicate packet (same counter and body as the one before it on its stream) is skipped, as the format
+    allows. Another break in the counters is an error if strict, else it is counted and the packet is read on.
     """
     if len(data) % PACKET:
         raise StreamError("the length is no multiple of 188")
     out = Stream(packets=len(data) // PACKET)
     pmts: frozenset[int] = frozenset()
     streams: frozenset[int] = frozenset()
-    last: dict[int, int] = {}
+    last: dict[int, tuple[int, bytes]] = {}
     parts: list[list[bytes]] = []
     rap_packet: list[int] = []
     for n in range(out.packets):
@@ -179,14 +179,14 @@ def demux(data: bytes, strict: bool = True) -> Stream:
             start_of_body += 1 + size
         if not b3 & 0x10:
             continue
-        if pid in last and counter != (last[pid] + 1) & 15:
-            if counter == last[pid]:
+        body = data[start_of_body : at + PACKET]
+        if pid in last and counter != (last[pid][0] + 1) & 15:
+            if (counter, body) == last[pid]:
                 continue
             if strict:
                 raise StreamError(f"continuity is broken at packet {n}")
             out.counter_errors += 1
-        last[pid] = counter
-        body = data[start_of_body : at + PACKET]
+        last[pid] = (counter, body)
         if pid in streams:
             if start:
                 parts.append([])
@@ -240,11 +240,15 @@ def media_column(text: str | Column = "text") -> Column:
     return store(F.col(text) if isinstance(text, str) else text)
 
 
-READ = "payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+READ = "payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, time_stamps array<long>, random_access array<struct<packet: long, time_stamp: long>>"
 
 
 def read_column(media: str | Column) -> Column:
-    """What reading a stored stream gives: checksums of the payload and of the stream, and the stream's features."""
+    """What reading a stored stream gives: checksums of the payload and of the stream, and its features.
+
+    time_stamps has one for each elementary packet, random_access the numbers of the transport packets at which
+    reading may begin, with their time stamps.
+    """
 
     @F.pandas_udf(READ)
     def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -252,8 +256,8 @@ def read_column(media: str | Column) -> Column:
             rows = []
             for m in s:
                 got = demux(bytes(m))
-                rows.append((hashlib.sha256(got.payload).hexdigest(), zlib.crc32(got.payload[-32:]), len(m), hashlib.sha256(m).hexdigest(), got.feature()))
-            yield pd.DataFrame(rows, columns=["payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+                rows.append((hashlib.sha256(got.payload).hexdigest(), zlib.crc32(got.payload[-32:]), len(m), hashlib.sha256(m).hexdigest(), got.feature(), got.pts, [{"packet": n, "time_stamp": t} for n, t in got.random_access]))
+            yield pd.DataFrame(rows, columns=["payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "time_stamps", "random_access"])
 
     return read(F.col(media) if isinstance(media, str) else media)
 
@@ -267,7 +271,8 @@ def digest(docs: DataFrame) -> DataFrame:
     """Store each text, read it back and return doc_id with lengths, checksums and features.
 
     A map over documents without a shuffle. Equal texts give equal values: nothing else goes into a stream.
-    A null text counts as empty (one unit of 255s); other columns are not read.
+    A null text counts as empty (one unit of 255s); repeated rows are stored each for itself; other columns are
+    not read; an empty table gives an empty result.
     """
     stored = docs.select("doc_id", media_column().alias("_s"))
     got = stored.select("doc_id", "_s.n_bytes", "_s.payload_bytes", read_column(F.col("_s.media")).alias("_r"))

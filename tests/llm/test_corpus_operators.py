@@ -229,6 +229,20 @@ def test_text_after_options_without_end_tags_stays(tail):
     assert [t for _, t in html_extraction.parse("<ul><option>a</option>b</ul><p>c</p>")[1]] == ["b", "c"]
 
 
+def test_quotes_in_unquoted_values():
+    page = '<article><h1>Title words</h1><p class=x">One.</p><p>Two.</p><p id=it\'s class="y">Three.</p><a href = "a>b">Four</a></article>'
+    assert [t for _, t in html_extraction.parse(page)[1]] == ["Title words", "One.", "Two.", "Three.", "Four"]
+
+
+def test_parsing_is_linear():
+    import time
+
+    for page in ("<div>" * 400_000 + "</span>" * 400_000, "<b>" * 300_000 + "<li>x</p>" * 300_000, "<p class=a'>" * 400_000 + "text"):
+        began = time.time()
+        html_extraction.parse(page)
+        assert len(page) > 3_000_000 and time.time() - began < 30
+
+
 def test_choice_is_consistent_and_likeliest():
     r = random.Random(4)
     for _ in range(60):

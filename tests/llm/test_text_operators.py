@@ -77,6 +77,18 @@ def test_rule_counts_on_random_texts():
         assert tuple(int(got[k][i]) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == brute_counts(t)[:5]
 
 
+def test_words_that_a_polynomial_hash_confuses():
+    """Two words of 4,096 letters that agree under every polynomial modulo 2 ** 64."""
+    flip = str.maketrans("ab", "ba")
+    x = "a"
+    while len(x) < 4096:
+        x += x.translate(flip)
+    y = x.translate(flip)
+    text = f"{x} p q {y} p q"
+    assert quality_rules.base_counts([text.encode()])["n_repeat_words"].tolist() == [0]
+    assert quality_rules.base_counts([f"{x} p q {x} p q {y}".encode()])["n_repeat_words"].tolist() == [6]
+
+
 def test_rules_learn_labels(graded):
     docs, labels = graded
     truth = {r["doc_id"]: r["quality"] for r in labels.collect()}
@@ -102,6 +114,10 @@ def test_transport_streams_read_back(docs, clashing, no_docs, odd_rows):
     for d in (docs, clashing):
         rows = transport_stream.digest(d).collect()
         assert Counter(tuple(r)[:5] for r in rows) == want
+    for r in rows:
+        stamps = [i * 16 * 1080 for i in range(-(-r["payload_bytes"] // (16 * 576)))]
+        assert r["time_stamps"] == stamps == [p["time_stamp"] for p in r["random_access"]]
+        assert r["random_access"][0]["packet"] == 2
     assert all("counter_errors=0" in r["feature"] for r in rows)
     assert transport_stream.digest(no_docs).count() == 0
 
@@ -119,6 +135,10 @@ def test_transport_stream_format():
         transport_stream.demux(media[:at] + media[at + 188 :])
     assert transport_stream.demux(media[:at] + media[at + 188 :], strict=False).counter_errors == 1
     assert transport_stream.demux(media[: at + 188] + media[at : at + 188] + media[at + 188 :]).payload == payload
+    changed = bytearray(media[at : at + 188])
+    changed[150] ^= 1  # the same counter with other bytes is no duplicate
+    with pytest.raises(transport_stream.StreamError):
+        transport_stream.demux(media[: at + 188] + bytes(changed) + media[at + 188 :])
     broken = bytearray(media)
     broken[12] ^= 1
     with pytest.raises(transport_stream.StreamError):
