@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -263,9 +263,9 @@ def harmonic_value(components: str | Column, mean, t, low: float = 0.0, high: fl
     return clip(col(mean) + F.aggregate(col(components), F.lit(0.0), lambda s, c: s + c["cos"] * F.cos(c["omega"] * t) + c["sin"] * F.sin(c["omega"] * t)), low, high)
 
 
-def reasons(rules: Mapping[str, Column] | Sequence[tuple[str, Column]]) -> Column:
+def reasons(rules: dict[str, Column] | Sequence[tuple[str, Column]]) -> Column:
     """The names of the conditions that hold, in order; a condition that is null does not hold."""
-    items = rules.items() if isinstance(rules, Mapping) else rules
+    items = rules.items() if isinstance(rules, dict) else rules
     return F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in items]))
 
 

@@ -49,7 +49,7 @@ def visible(poses: DataFrame, points: DataFrame, pose_id: str, point_id: str, re
 
 
 def view_support(poses: DataFrame, views: DataFrame, pose_id: str, view_id: str, direction: str, radius: float, k: int = 10, orientation_weight: float = 5.0) -> DataFrame:
-    """The k nearest mapping views of each pose, by distance over the radius and angle over a half turn: (pose, view, distance, angle_deg, rank)."""
+    """The k nearest views of the map to each pose, by distance over the radius and angle over a half turn: (pose, view, distance, angle_deg, rank)."""
     pairs = radius_pairs(poses, views, pose_id, view_id, ("x", "y", "z"), radius)
     j = pairs.join(poses.select(F.col(pose_id).alias("left_id"), F.col(direction).alias("_a")), "left_id").join(views.select(F.col(view_id).alias("right_id"), F.col(direction).alias("_b")), "right_id")
     j = j.withColumn("angle_deg", angle_between_deg("_a", "_b")).withColumn("_d", F.col("distance") / radius + orientation_weight * F.col("angle_deg") / 180)

@@ -6,7 +6,7 @@ Thresholds are parameters with the usual defaults.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -287,7 +287,7 @@ def update_class(localized, covered, changed) -> Column:
     return F.when(l & e & ~c, "UPDATE_CANDIDATE").when(l & c & ~e, "APPEARANCE_REF").when(l & e, "UPDATE_CANDIDATE").otherwise("QUARANTINE")
 
 
-def check_receipts(rows: DataFrame, checks: Mapping[str, tuple[str, str, float]], key: Sequence[str] = ()) -> DataFrame:
+def check_receipts(rows: DataFrame, checks: dict[str, tuple[str, str, float]], key: Sequence[str] = ()) -> DataFrame:
     """One row for each check: (key, check, value, limit, margin, state). A value that is not finite is HARD_FAIL; margin is positive where it passes."""
     items = []
     for name, (column, way, limit) in checks.items():
@@ -310,7 +310,7 @@ POSE_GATES: dict[str, tuple[str, str, float]] = {
 }
 
 
-def pose_gates(gates: Mapping[str, tuple[str, str, float]] = POSE_GATES) -> Column:
+def pose_gates(gates: dict[str, tuple[str, str, float]] = POSE_GATES) -> Column:
     """Names of the pose gates that fail, in order; a missing value fails its gate."""
     return reasons([(n, F.coalesce(F.col(c) < v if w == ">=" else F.col(c) > v, F.lit(True))) for n, (c, w, v) in gates.items()])
 

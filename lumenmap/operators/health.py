@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -147,7 +147,7 @@ def matchability(events: DataFrame, point: str = "point_id", half_life: float |
 WEAKNESS = {"observations": 0.22, "grid": 0.20, "hull": 0.16, "error": 0.12, "track": 0.16, "angle": 0.14}
 
 
-def weakness(images: DataFrame, metrics: Mapping[str, tuple[str, bool]], weights: Mapping[str, float] = WEAKNESS) -> DataFrame:
+def weakness(images: DataFrame, metrics: dict[str, tuple[str, bool]], weights: dict[str, float] = WEAKNESS) -> DataFrame:
     """images with `weakness` in [0, 1] and its completeness: robust badness of each metric (column, higher is worse) against all images."""
     rows = images
     for name, (column, worse) in metrics.items():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -95,7 +95,7 @@ def feature_anomalies(edges: DataFrame, features: Sequence[str], by: Sequence[st
 RELATIVE = {"inliers": 0.20, "inlier_ratio": 0.15, "hull_coverage": 0.15, "grid4_occupancy": 0.10, "pose_consensus": 0.10, "positive_depth_ratio": 0.05, "reproj_p90_px": 0.10}
 
 
-def relative_quality(results: DataFrame, key: str = "query", weights: Mapping[str, float] = RELATIVE) -> DataFrame:
+def relative_quality(results: DataFrame, key: str = "query", weights: dict[str, float] = RELATIVE) -> DataFrame:
     """(key, quality, completeness): tie-aware ranks of each metric, weighted over those that are there, times .70 + .30 * completeness."""
     rows = results.select(key, *weights)
     for m in weights:
@@ -108,11 +108,11 @@ def relative_quality(results: DataFrame, key: str = "query", weights: Mapping[st
 UTILITY = {"coverage": 1.0, "connectivity": 1.0, "redundancy": 1.0, "quality": 1.0, "holdout": 1.0, "diversity": 0.5, "cost": -0.5, "risk": -1.5}
 
 
-def utility(weights: Mapping[str, float] = UTILITY) -> Column:
+def utility(weights: dict[str, float] = UTILITY) -> Column:
     return reduce(lambda a, b: a + b, [F.coalesce(F.col(k), F.lit(0.0)) * w for k, w in weights.items()])
 
 
-def leave_one_out(terms: DataFrame, key: str = "session", weights: Mapping[str, float] = UTILITY) -> DataFrame:
+def leave_one_out(terms: DataFrame, key: str = "session", weights: dict[str, float] = UTILITY) -> DataFrame:
     """(key, delta): the utility of additive terms with each row, less that without it."""
     total = terms.agg(*[F.sum(F.coalesce(F.col(k), F.lit(0.0))).alias(k) for k in weights]).select(utility(weights).alias("_all"))
     rest = terms.crossJoin(F.broadcast(total)).withColumn("_own", utility(weights))  # one row

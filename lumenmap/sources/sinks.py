@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import struct
 import time
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
@@ -21,7 +21,7 @@ def write_table(df: DataFrame, path: str) -> None:
     (df.write.mode("overwrite").option("header", True).csv(path) if path.endswith(".csv") else df.write.mode("overwrite").parquet(path))
 
 
-def write_bundle(tables: Mapping[str, DataFrame], folder: str, kind: str = "parquet") -> None:
+def write_bundle(tables: dict[str, DataFrame], folder: str, kind: str = "parquet") -> None:
     """Each table in a folder of its own name."""
     for name, df in tables.items():
         getattr(df.write.mode("overwrite"), kind)(f"{folder}/{name}")
@@ -106,7 +106,7 @@ class BundleStore:
         self._swap("history.jsonl", "".join(json.dumps(r) + "\n" for r in rows))
         self._swap("current.json", json.dumps({"version": version}))
 
-    def promote(self, version: str, report: Mapping, snapshot: str, expected_snapshot: str) -> None:
+    def promote(self, version: str, report: dict, snapshot: str, expected_snapshot: str) -> None:
         """Point to a version whose report passes and whose snapshot is the expected one; else an error."""
         if report.get("status") != "PASS":
             raise ValueError("the regression report does not pass")
