@@ -7,19 +7,72 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import cut
+
+EULER = 0.5772156649015329
+
+
+def in_ranges(df: DataFrame, order: Sequence[str], name: str = "ranges") -> DataFrame:
+    """df dealt by ranges of the order columns, with the number of the range in _part; written, so that the numbers stay."""
+    return cut(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), name)
+
+
+def ordered_numbers(df: DataFrame, order: Sequence[str], value: str) -> DataFrame:
+    """df with place (from 1) and running (the sum of value so far) in the order of all its rows.
+
+    The rows are sorted range by range, never in one task; one sum for each range is added up. Ties of order come
+    in any order, so order should tell rows apart.
+    """
+    ranged = in_ranges(df, order)
+    sums = ranged.groupBy("_part").agg(F.count("*").alias("_in_part"), F.sum(value).alias("_of_part"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as ranges
+    base = sums.select("_part", F.coalesce(F.sum("_in_part").over(before), F.lit(0)).alias("_places"), F.coalesce(F.sum("_of_part").over(before), F.lit(0)).alias("_sums"))
+    w = Window.partitionBy("_part").orderBy(*order)
+    rows = ranged.join(F.broadcast(base), "_part")
+    so_far = F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.select(*df.columns, (F.row_number().over(w) + F.col("_places")).alias("place"), (so_far + F.col("_sums")).alias("running"))
+
+
+def last_before(df: DataFrame, at: str, steps: DataFrame, start: str, value: str, to: str) -> DataFrame:
+    """df with the value of the last step whose start is at or below `at`; before the first step, the first one's."""
+    both = df.select(F.col(at).alias("_k"), F.lit(1).alias("_tag"), F.struct(*df.columns).alias("_row"), F.lit(None).cast("double").alias("_v"))
+    both = both.unionByName(steps.select(F.col(start).alias("_k"), F.lit(0).alias("_tag"), F.lit(None).cast(both.schema["_row"].dataType).alias("_row"), F.col(value).cast("double").alias("_v")))
+    ranged = in_ranges(both, ["_k", "_tag"])
+    ends = ranged.where("_tag = 0").groupBy("_part").agg(F.max_by("_v", "_k").alias("_end"))
+    parts = ranged.select("_part").distinct().join(ends, "_part", "left")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as ranges
+    carried = parts.select("_part", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    first = steps.agg(F.min_by(F.col(value).cast("double"), F.col(start)).alias("_first"))
+    w = Window.partitionBy("_part").orderBy("_k", "_tag").rowsBetween(Window.unboundedPreceding, 0)
+    rows = ranged.withColumn("_seen", F.last("_v", ignorenulls=True).over(w)).where("_tag = 1")
+    rows = rows.join(F.broadcast(carried), "_part").crossJoin(F.broadcast(first))  # one row for each range; one row
+    return rows.select("_row.*", F.coalesce("_seen", "_carried", "_first").alias(to))
+
+
+def harmonic(n: Column) -> Column:
+    """The n-th harmonic number: a sum for small n, else its expansion, which is exact to 13 digits there."""
+    few = F.aggregate(F.sequence(F.lit(1), F.greatest(F.least(n, F.lit(20)), F.lit(1)).cast("int")), F.lit(0.0), lambda a, k: a + 1 / k)
+    x = n.cast("double")
+    many = F.log(x) + EULER + 1 / (2 * x) - 1 / (12 * x**2) + 1 / (120 * x**4) - 1 / (252 * x**6)
+    return F.when(n < 1, 0.0).when(n <= 20, few).otherwise(many)
+
 
 def percentile_rank(df: DataFrame, value: str, to: str = "rank", by: Sequence[str] = (), higher_is_better: bool = True) -> DataFrame:
     """Average rank of ties in [0, 1]; null stays null, a single value is 1, all tied are 0.5.
 
-    Ranks come from one count for each distinct value, so that the sorted window runs over values, not rows.
+    Ranks come from one count for each distinct value. Without `by` the values are sorted in ranges.
     """
     g = [*by, value]
     counts = df.where(F.col(value).isNotNull()).groupBy(*g).agg(F.count("*").alias("_n"))
-    order = F.col(value).asc() if higher_is_better else F.col(value).desc()
-    w = Window.partitionBy(*by).orderBy(order) if by else Window.orderBy(order)
-    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
-    before = F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    counts = counts.select(*g, "_n", F.coalesce(before, F.lit(0)).alias("_before"), F.sum("_n").over(whole).alias("_total"))
+    if by:
+        w = Window.partitionBy(*by).orderBy(F.col(value).asc() if higher_is_better else F.col(value).desc())
+        before = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        counts = counts.select(*g, "_n", before.alias("_before"), F.sum("_n").over(Window.partitionBy(*by)).alias("_total"))
+    else:
+        sums = ordered_numbers(counts, [value], "_n")
+        rows = sums.crossJoin(F.broadcast(counts.agg(F.sum("_n").alias("_total"))))  # one row
+        below = F.col("running") - F.col("_n")
+        counts = rows.select(value, "_n", (below if higher_is_better else F.col("_total") - F.col("running")).alias("_before"), "_total")
     rank = F.when(F.col("_total") == 1, 1.0).otherwise((F.col("_before") + (F.col("_n") - 1) / 2) / (F.col("_total") - 1))
     return df.join(counts.select(*g, rank.alias(to)), g, "left")
 
@@ -141,22 +194,23 @@ def first_wins(df: DataFrame, key: Sequence[str], order: Sequence[Column | str])
 def risk_coverage(df: DataFrame, risk: str, failed: str) -> DataFrame:
     """Curve over tie groups of rising risk: (risk, n, failures, covered, failed_before_or_at, coverage, selective_risk)."""
     g = df.where(F.col(risk).isNotNull()).groupBy(F.col(risk).alias("risk")).agg(F.count("*").alias("n"), F.sum(F.col(failed).cast("long")).alias("failures"))
-    w = Window.orderBy("risk").rowsBetween(Window.unboundedPreceding, 0)  # over values, not rows
     total = g.agg(F.sum("n").alias("_total"))
-    c = g.withColumn("covered", F.sum("n").over(w)).withColumn("failed_so_far", F.sum("failures").over(w))
+    c = ordered_numbers(g, ["risk"], "n").withColumnRenamed("running", "covered").drop("place")
+    c = ordered_numbers(c, ["risk"], "failures").withColumnRenamed("running", "failed_so_far").drop("place")
     return c.crossJoin(F.broadcast(total)).select("risk", "n", "failures", "covered", "failed_so_far", (F.col("covered") / F.col("_total")).alias("coverage"), (F.col("failed_so_far") / F.col("covered")).alias("selective_risk"))  # one row
 
 
 def aurc(df: DataFrame, risk: str, failed: str) -> DataFrame:
     """One row: the mean over all prefixes of the expected failure rate, ties in expectation, and the same for a perfect order."""
     c = risk_coverage(df, risk, failed)
-    before_n, before_f = F.col("covered") - F.col("n"), F.col("failed_so_far") - F.col("failures")
-    place = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("k")
-    rows = c.select(before_n.alias("bn"), before_f.alias("bf"), (F.col("failures") / F.col("n")).alias("share"), place)
-    curve = rows.agg(F.avg((F.col("bf") + F.col("k") * F.col("share")) / (F.col("bn") + F.col("k"))).alias("aurc"))
+    # over a tie group after b rows with f failures, the k-th prefix has (f + k p) / (b + k); its sum has a closed form
+    b, f, n = F.col("covered") - F.col("n"), F.col("failed_so_far") - F.col("failures"), F.col("n")
+    p = F.col("failures") / n
+    curve = c.agg((F.sum(p * n + (f - p * b) * (harmonic(b + n) - harmonic(b))) / F.sum("n")).alias("aurc"))
     totals = df.where(F.col(risk).isNotNull()).agg(F.count("*").alias("n"), F.sum(F.col(failed).cast("long")).alias("f"))
     # a perfect order accepts the n - f successes first, then failures only
-    oracle = totals.select("n", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest("n", F.lit(1).cast("long")))).alias("a"), (F.col("n") - F.col("f")).alias("s")).agg(F.avg(F.greatest(F.lit(0), F.col("a") - F.col("s")) / F.col("a")).alias("oracle_aurc"))
+    s = F.col("n") - F.col("f")
+    oracle = totals.select(F.when(F.col("n") > 0, (F.col("f") - s * (harmonic(F.col("n")) - harmonic(s))) / F.col("n")).alias("oracle_aurc"))
     return curve.crossJoin(oracle)  # one row each
 
 
