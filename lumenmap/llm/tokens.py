@@ -26,8 +26,8 @@ BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 CONTRACTIONS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
 
-PIECES = 300_000  # entries of a cache, held up to twice
-BATCH_BYTES = 8 << 20  # of texts that are encoded at once
+PIECES = 200_000  # entries of a cache, held up to twice
+BATCH_BYTES = 4 << 20  # of texts that are encoded at once
 LONG_PIECE = 64  # bytes; longer ones are left to the library's model
 
 SPACE, LETTER, NUMBER, OTHER = range(4)
