@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import admission, decisions, evidence, recapture, structure  # noqa: F401
+from . import admission, decisions, evidence, recapture, structure, upkeep  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES  # noqa: F401
