@@ -142,12 +142,12 @@ _HEALTH_METRICS = {"visible_landmark_count": ("value", 50.0), "inlier_convex_hul
 _HEALTH_SQL = " + ".join(f"least(1, greatest(0, ({e})::DOUBLE / {t}))" for e, t in _HEALTH_METRICS.values())
 
 
-@query(f"""SELECT event_id, round(({_HEALTH_SQL} + least(1, 1e6 / greatest(user_id * 39937.0, 1)) + CASE WHEN event_id % 3 = 0 THEN least(1, (event_id % 6) / 3.0) ELSE 0 END) / (8 + (event_id % 3 = 0)::INT), 7) AS health FROM events WHERE value IS NOT NULL AND event_id % 5 > 0
+@query(f"""SELECT event_id, round(({_HEALTH_SQL} + least(1, 1e6 / greatest(user_id * 39937.0, 1)) + CASE WHEN event_id % 3 = 0 THEN least(1, (event_id % 6) / 3.0) ELSE 0 END) / (8 + (event_id % 3 = 0)::INT), 9) AS health FROM events WHERE value IS NOT NULL AND event_id % 5 > 0
   UNION ALL SELECT event_id, NULL FROM events WHERE value IS NULL OR event_id % 5 = 0""")
 def structural_health(spark: SparkSession, d: str) -> DataFrame:
     cols = {c: f"double({e})" for c, (e, _) in _HEALTH_METRICS.items()}
     e = _cols(table(spark, d, "events"), event_id="event_id", **cols, fim_condition_number="if(event_id % 5 > 0, user_id * 39937.0D, null)", fim_effective_rank="if(event_id % 3 = 0, double(event_id % 6), null)", track_length_p50="double(null)", reprojection_error_p90_px="double(null)")
-    return e.select("event_id", F.round(R.structural_health(), 7).alias("health"))
+    return e.select("event_id", F.round(R.structural_health(), 9).alias("health"))
 
 
 @query("""WITH t AS (SELECT user_id % 20 AS region, event_id, ['solve', 'match ', 'retrieve'][event_id % 3 + 1] AS stage, (event_id % 10) / 10.0::DOUBLE AS b, (event_id % 13) / 13.0::DOUBLE AS a, event_id % 4 > 0 AS ok FROM events WHERE event_type = 'purchase' AND event_id % 3 <= user_id % 3),
