@@ -38,6 +38,7 @@ TOLERANCE = 1e-3  # log-likelihood a token by which two sweeps must better it
 SHAPES = 24
 HOLE = 255
 CHUNK = 4 << 20
+TABLE_PARTS = 32  # of the table of bigrams
 
 TABLE = bytes(32 if IS_SPACE[b] else LOWER[b] for b in range(256))
 
@@ -547,6 +548,7 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, frequent: int = FREQUE
     v = vocabulary(counts, least, core * tokens)  # bounded by frequent
     shared = spark.sparkContext.broadcast(v)
     bigrams = cut(count_bigrams(train, shared), "lm-bigrams")
+    bigrams = cut(bigrams.coalesce(TABLE_PARTS), "lm-table")  # read once a sweep; bounded by the core's size, whatever the input's
     total = max(1, min(classes, v.size - 1)) + 1
     loops = bigrams.where("a = b").toArrow()  # at most one row for each symbol
     loop = np.zeros(v.size)
