@@ -125,10 +125,10 @@ def candidate_risk(health: str | Column, weak_direction: str, weak_fraction: str
     return clip(1 - h + weight * F.coalesce(align * F.col(weak_fraction) * F.col(weak_sigma), F.lit(0.0)))
 
 
-def limitation(selected, best, enter: float = 0.45, exit: float = 0.35) -> Column:
-    """What limits a sample: the map where even the best heading is weak, the heading where only the chosen one is."""
+def limitation(selected, best, enter: float = 0.45, gain: float = 0.05) -> Column:
+    """What limits a sample: the map where even the best heading is weak, the heading where another would gain enough."""
     s, b = (F.col(c) if isinstance(c, str) else c for c in (selected, best))
-    return F.when(b >= enter, "MAP_LIMITED").when(s >= enter, "ORIENTATION_LIMITED").when(s > exit, "MARGINAL").otherwise("HEALTHY")
+    return F.when(b >= enter, "MAP_LIMITED").when(s >= enter, F.when(s - b >= gain, "ORIENTATION_LIMITED").otherwise("MARGINAL")).otherwise("HEALTHY")
 
 
 def audit_route(route: DataFrame, heat: DataFrame, by: Sequence[str] = ("route_id",), order: str = "seq", spacing: float = 0.5, reach: float = 2.0, smooth: float = 0.25, least: float = 1.0) -> dict[str, DataFrame]:

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from ..storage import cut
 
 
+HEAVY_POINT = 1000  # views of a point that one key joins with all of the point's
+
+
 def undirected_best(edges: DataFrame, a: str = "a", b: str = "b", score: str = "score", known: DataFrame | None = None) -> DataFrame:
     """One row (a, b, score) with a < b for each pair, the greatest score; pairs with themselves and of unknown nodes go."""
     e = edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), F.col(score).alias("score")).where("a <> b")
@@ -24,15 +27,19 @@ def undirected_best(edges: DataFrame, a: str = "a", b: str = "b", score: str = "
 def covisibility(tracks: DataFrame, image: str = "image_id", point: str = "point3d_id", least: int = 15, longest_track: int | None = None) -> DataFrame:
     """Pairs of images (a < b) with the number of points that both see, at least `least`.
 
-    Each image counts once for a point; points that one image sees alone are dropped before the self-join.
-    longest_track leaves out points seen by more images (an approximation, off by default).
+    Each image counts once for a point; points that one image sees alone are dropped before the self-join. The
+    views of a point that very many images see are dealt to several keys, each of which meets all views of the
+    point, so no task makes all of its pairs. longest_track leaves out points seen by more images (an
+    approximation, off by default).
     """
     seen = tracks.select(F.col(image).alias("i"), F.col(point).alias("p")).where("p is not null").distinct()
     size = seen.groupBy("p").agg(F.count("*").alias("n")).where("n > 1")
     if longest_track is not None:
         size = size.where(F.col("n") <= longest_track)
-    seen = seen.join(size.select("p"), "p", "left_semi")
-    pairs = seen.alias("x").join(seen.alias("y"), (F.col("x.p") == F.col("y.p")) & (F.col("x.i") < F.col("y.i")))
+    seen = seen.join(size.select("p", F.ceil(F.col("n") / HEAVY_POINT).alias("deal")), "p")
+    left = seen.withColumn("salt", F.pmod(F.xxhash64("i"), "deal"))
+    right = seen.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deal") - 1)))
+    pairs = left.alias("x").join(right.alias("y"), (F.col("x.p") == F.col("y.p")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.i") < F.col("y.i")))
     return pairs.groupBy(F.col("x.i").alias("a"), F.col("y.i").alias("b")).agg(F.count("*").alias("support")).where(F.col("support") >= least)
 
 
@@ -95,10 +102,19 @@ def threshold_sensitivity(nodes: DataFrame, edges: DataFrame, thresholds: Iterab
 
 
 def triangles(edges: DataFrame) -> DataFrame:
-    """(a, b, c) with a < b < c of every three nodes that are all joined."""
+    """(a, b, c) with a < b < c of every three nodes that are all joined.
+
+    Each edge points from the node of the lower degree (ties by name), so a wedge begins at its least node and a
+    node of very many neighbours begins few.
+    """
     e = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-    wedge = e.alias("x").join(e.alias("y"), F.col("x.b") == F.col("y.a")).select(F.col("x.a").alias("a"), F.col("x.b").alias("b"), F.col("y.b").alias("c"))
-    return wedge.join(e.select("a", F.col("b").alias("c")), ["a", "c"], "left_semi").select("a", "b", "c")
+    degree = e.select(F.explode(F.array("a", "b")).alias("v")).groupBy("v").agg(F.count("*").alias("d"))
+    key = lambda c: degree.select(F.col("v").alias(c), F.struct("d", F.col("v").alias("v")).alias(f"_{c}"))
+    o = e.join(key("a"), "a").join(key("b"), "b").select(F.least("_a", "_b").alias("lo"), F.greatest("_a", "_b").alias("hi"))
+    x, y = o.alias("x"), o.alias("y")
+    wedge = x.join(y, (F.col("x.lo.v") == F.col("y.lo.v")) & (F.col("x.hi") < F.col("y.hi"))).select(F.sort_array(F.array("x.lo.v", "x.hi.v", "y.hi.v")).alias("t"), F.least("x.hi.v", "y.hi.v").alias("p"), F.greatest("x.hi.v", "y.hi.v").alias("q"))
+    closed = wedge.join(e.select(F.col("a").alias("p"), F.col("b").alias("q")), ["p", "q"], "left_semi")
+    return closed.select(*[F.element_at("t", i + 1).alias(c) for i, c in enumerate("abc")])
 
 
 def triplet_support(edges: DataFrame, weight: str = "support") -> DataFrame:

@@ -107,10 +107,10 @@ def first_wins(spark: SparkSession, d: str) -> DataFrame:
     return W.first_wins(table(spark, d, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey")
 
 
-@query("""SELECT x.vec_id AS q, y.vec_id AS r, round(sqrt(list_sum([(x.embedding[i]::DOUBLE - y.embedding[i]::DOUBLE) ** 2 FOR i IN range(1, len(x.embedding) + 1)])), 7) AS l2 FROM embeddings x JOIN embeddings y ON y.vec_id = x.vec_id + 1 WHERE x.vec_id % 50 = 0""")
+@query("""SELECT x.vec_id AS q, y.vec_id AS r, round(sqrt(list_sum([(x.embedding[i]::DOUBLE - y.embedding[i]::DOUBLE) ** 2 FOR i IN range(1, len(x.embedding) + 1)])), 7) AS l2 FROM embeddings x JOIN embeddings y ON y.vec_id = x.vec_id + 1""")
 def vector_distance(spark: SparkSession, d: str) -> DataFrame:
     v = A.vectors(spark, d)
-    q = v.where("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), (F.col("vec_id") + 1).alias("r"), F.col("embedding").alias("_q"))
+    q = v.select(F.col("vec_id").alias("q"), (F.col("vec_id") + 1).alias("r"), F.col("embedding").alias("_q"))
     return q.join(v.select(F.col("vec_id").alias("r"), "embedding"), "r").select("q", "r", F.round(E.l2("_q", "embedding"), 7).alias("l2"))
 
 
@@ -131,7 +131,13 @@ def heat_positions(spark: SparkSession, d: str) -> DataFrame:
     return D.heat_positions(h, ("x", "y")).select("x", "y", *[F.round(c, 9).alias(c) for c in ("best", "mean", "worst")])
 
 
-@query()
+@query("""SELECT event_id, CASE WHEN b >= 0.45 THEN 'MAP_LIMITED' WHEN s >= 0.45 AND s - b >= 0.05 THEN 'ORIENTATION_LIMITED' WHEN s >= 0.45 THEN 'MARGINAL' ELSE 'HEALTHY' END AS limitation FROM (SELECT event_id, least(1, value / 97) AS s, least(1, value / 97) - (event_id % 13) / 101.0::DOUBLE AS b FROM events WHERE value IS NOT NULL)""")
+def route_limitations(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").where("value is not null").select("event_id", F.expr("least(1.0D, value / 97)").alias("s"), F.expr("least(1.0D, value / 97) - (event_id % 13) / 101").alias("b"))
+    return e.select("event_id", D.limitation("s", "b").alias("limitation"))
+
+
+@query(f"""WITH RECURSIVE e AS MATERIALIZED ({A.PART_EDGES_SQL}), u AS MATERIALIZED (SELECT a, b FROM e UNION ALL SELECT b, a FROM e), r(source, node, hops) AS (SELECT range, range, 0 FROM range(1, 4) UNION SELECT r.source, u.b, r.hops + 1 FROM r JOIN u ON u.a = r.node WHERE r.hops < 3) SELECT source, node, min(hops) AS hops FROM r GROUP BY 1, 2""")
 def hop_distances(spark: SparkSession, d: str) -> DataFrame:
     from ..operators.graph import hop_distances as hops
 

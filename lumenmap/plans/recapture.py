@@ -138,7 +138,7 @@ def region_plan(spark: SparkSession, d: str) -> DataFrame:
     return R.plan_regions(_cells(spark, d), _audit(spark, d), healthy=0.5).select("region", "decision")
 
 
-_HEALTH_METRICS = {"visible_landmark_count": ("value", 50.0), "inlier_convex_hull_coverage": ("(event_id % 10) / 19.0", 0.2), "grid_occupancy_count": ("event_id % 13", 8.0), "positive_depth_ratio": ("(event_id % 8) / 7.0", 0.95), "fim_rank": ("event_id % 7", 6.0), "triangulation_angle_p10_deg": ("(user_id % 5) / 1.0", 2.0), "view_direction_entropy": ("(user_id % 9) / 10.0", 0.4)}
+_HEALTH_METRICS = {"visible_landmark_count": ("sqrt(value) * 5", 50.0), "inlier_convex_hull_coverage": ("(event_id % 10) / 19.0", 0.2), "grid_occupancy_count": ("event_id % 13", 8.0), "positive_depth_ratio": ("(event_id % 8) / 7.0", 0.95), "fim_rank": ("event_id % 7", 6.0), "triangulation_angle_p10_deg": ("(user_id % 5) / 1.0", 2.0), "view_direction_entropy": ("(user_id % 9) / 10.0", 0.4)}
 _HEALTH_SQL = " + ".join(f"least(1, greatest(0, ({e})::DOUBLE / {t}))" for e, t in _HEALTH_METRICS.values())
 
 

@@ -29,38 +29,48 @@ def covisibility_degree(spark: SparkSession, d: str) -> DataFrame:
     return N.degrees(nodes, A.part_edges(spark, d))
 
 
-@query()
+def closure_sql(nodes: str, edges: str) -> str:
+    """Each node with the least node that edges (a, b) connect it with."""
+    return f"""WITH RECURSIVE e AS MATERIALIZED ({edges}), u AS MATERIALIZED (SELECT a, b FROM e UNION ALL SELECT b, a FROM e), n AS MATERIALIZED ({nodes}),
+  cc(node, component) USING KEY (node) AS (SELECT node, node FROM n UNION SELECT u.a, min(c.component) FROM cc c JOIN u ON u.b = c.node JOIN recurring.cc r ON r.node = u.a WHERE c.component < r.component GROUP BY u.a) SELECT node, component FROM cc"""
+
+
+@query(closure_sql("SELECT DISTINCT l_partkey AS node FROM lineitem", A.PART_EDGES_SQL))
 def covisibility_components(spark: SparkSession, d: str) -> DataFrame:
     nodes = table(spark, d, "lineitem").select(F.col("l_partkey").alias("node"))
     return N.components(nodes, A.part_edges(spark, d))
 
 
-_STRONG_EDGES_SQL = "SELECT x.s AS a, y.s AS b FROM (SELECT DISTINCT user_id AS s, ts::DATE AS p FROM events WHERE value > 280) x JOIN (SELECT DISTINCT user_id AS s, ts::DATE AS p FROM events WHERE value > 280) y ON x.p = y.p AND x.s < y.s GROUP BY 1, 2"
+_USER_EDGES_SQL = "SELECT x.s AS a, y.s AS b FROM (SELECT DISTINCT user_id AS s, ts::DATE AS p FROM events) x JOIN (SELECT DISTINCT user_id AS s, ts::DATE AS p FROM events) y ON x.p = y.p AND x.s < y.s GROUP BY 1, 2"
 
 
-def _user_edges(spark: SparkSession, d: str, where: str = "true") -> DataFrame:
-    seen = table(spark, d, "events").where(where).select(F.col("user_id").alias("image_id"), F.to_date("ts").alias("point3d_id"))
+def _user_edges(spark: SparkSession, d: str) -> DataFrame:
+    seen = table(spark, d, "events").select(F.col("user_id").alias("image_id"), F.to_date("ts").alias("point3d_id"))
     return N.covisibility(seen, least=1)
 
 
-@query(f"""WITH RECURSIVE e AS ({_STRONG_EDGES_SQL}), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), n AS (SELECT DISTINCT user_id AS node FROM events),
-  r(node, reach) AS (SELECT node, node FROM n UNION SELECT r.node, u.b FROM r JOIN u ON u.a = r.reach) SELECT node, min(reach) AS component FROM r GROUP BY node""")
+@query(closure_sql("SELECT DISTINCT user_id AS node FROM events", _USER_EDGES_SQL))
 def user_components(spark: SparkSession, d: str) -> DataFrame:
-    return N.components(table(spark, d, "events").select(F.col("user_id").alias("node")), _user_edges(spark, d, "value > 280"))
+    return N.components(table(spark, d, "events").select(F.col("user_id").alias("node")), _user_edges(spark, d))
 
 
-@query(f"WITH e AS ({A.PART_EDGES_SQL}) SELECT x.a AS a, x.b AS b, y.b AS c FROM e x JOIN e y ON x.b = y.a JOIN e z ON z.a = x.a AND z.b = y.b")
+@query(f"WITH e AS MATERIALIZED ({A.PART_EDGES_SQL}) SELECT x.a AS a, x.b AS b, y.b AS c FROM e x JOIN e y ON x.b = y.a JOIN e z ON z.a = x.a AND z.b = y.b")
 def graph_triangles(spark: SparkSession, d: str) -> DataFrame:
     return N.triangles(A.part_edges(spark, d))
 
 
-@query(f"""WITH e AS ({A.PART_EDGES_SQL}), t AS (SELECT x.a AS a, x.b AS b, y.b AS c, least(x.support, y.support, z.support) / greatest(x.support, y.support, z.support) AS r FROM e x JOIN e y ON x.b = y.a JOIN e z ON z.a = x.a AND z.b = y.b)
+@query(f"""WITH e AS MATERIALIZED ({A.PART_EDGES_SQL}), t AS (SELECT x.a AS a, x.b AS b, y.b AS c, least(x.support, y.support, z.support) / greatest(x.support, y.support, z.support) AS r FROM e x JOIN e y ON x.b = y.a JOIN e z ON z.a = x.a AND z.b = y.b)
   SELECT a, b, round(avg(r), 9) AS triplet_score, count(*) AS triangles FROM (SELECT a, b, r FROM t UNION ALL SELECT b, c, r FROM t UNION ALL SELECT a, c, r FROM t) GROUP BY 1, 2""")
 def triplet_support(spark: SparkSession, d: str) -> DataFrame:
     return N.triplet_support(A.part_edges(spark, d)).withColumn("triplet_score", F.round("triplet_score", 9))
 
 
-@query()
+def _sensitivity_sql(k: int) -> str:
+    parts = closure_sql("SELECT DISTINCT l_partkey AS node FROM lineitem", f"SELECT a, b FROM ({A.PART_EDGES_SQL}) WHERE support >= {k}")
+    return f"SELECT {k}::BIGINT AS threshold, (SELECT count(*) FROM ({A.PART_EDGES_SQL}) WHERE support >= {k}) AS edges, count(*) AS components, max(n) / sum(n) AS largest_share FROM (SELECT component, count(*) AS n FROM ({parts}) GROUP BY 1)"
+
+
+@query(" UNION ALL ".join(_sensitivity_sql(k) for k in (2, 3, 4)))
 def graph_threshold_sensitivity(spark: SparkSession, d: str) -> DataFrame:
     nodes = table(spark, d, "lineitem").select(F.col("l_partkey").alias("node"))
     return N.threshold_sensitivity(nodes, A.part_edges(spark, d), (2, 3, 4))
@@ -197,10 +207,10 @@ def merge_last_non_null(spark: SparkSession, d: str) -> DataFrame:
     return W.merge_last(o, ["o_custkey"], "o_orderkey", ["status", "priority"])
 
 
-@query("SELECT p_partkey, s_min AS nation FROM (SELECT l_partkey AS p_partkey, min(s_nationkey) AS s_min, max(s_nationkey) AS s_max FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1) WHERE s_min = s_max")
+@query("SELECT l_orderkey, s_min AS nation FROM (SELECT l_orderkey, min(s_nationkey) AS s_min, max(s_nationkey) AS s_max FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1) WHERE s_min = s_max")
 def exclusive_points(spark: SparkSession, d: str) -> DataFrame:
     j = table(spark, d, "lineitem").join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    return H.exclusive_points(j, "l_partkey", "s_nationkey").select(F.col("l_partkey").alias("p_partkey"), F.col("s_nationkey").alias("nation"))
+    return H.exclusive_points(j, "l_orderkey", "s_nationkey").select("l_orderkey", F.col("s_nationkey").alias("nation"))
 
 
 @query("SELECT sequences, count(*) AS points FROM (SELECT l_partkey, count(DISTINCT s_nationkey) AS sequences FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1) GROUP BY 1")
