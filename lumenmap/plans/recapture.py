@@ -138,11 +138,11 @@ def region_plan(spark: SparkSession, d: str) -> DataFrame:
     return R.plan_regions(_cells(spark, d), _audit(spark, d), healthy=0.5).select("region", "decision")
 
 
-_HEALTH_METRICS = {"visible_landmark_count": ("sqrt(value) * 5", 50.0), "inlier_convex_hull_coverage": ("(event_id % 10) / 19.0", 0.2), "grid_occupancy_count": ("event_id % 13", 8.0), "positive_depth_ratio": ("(event_id % 8) / 7.0", 0.95), "fim_rank": ("event_id % 7", 6.0), "triangulation_angle_p10_deg": ("(user_id % 5) / 1.0", 2.0), "view_direction_entropy": ("(user_id % 9) / 10.0", 0.4)}
+_HEALTH_METRICS = {"visible_landmark_count": ("sqrt(value) * 5", 50.0), "inlier_convex_hull_coverage": ("(event_id % 10) / 19e0", 0.2), "grid_occupancy_count": ("event_id % 13", 8.0), "positive_depth_ratio": ("(event_id % 8) / 7e0", 0.95), "fim_rank": ("event_id % 7", 6.0), "triangulation_angle_p10_deg": ("(user_id % 5) / 1e0", 2.0), "view_direction_entropy": ("(user_id % 9) / 1e1", 0.4)}
 _HEALTH_SQL = " + ".join(f"least(1, greatest(0, ({e})::DOUBLE / {t}))" for e, t in _HEALTH_METRICS.values())
 
 
-@query(f"""SELECT event_id, round(({_HEALTH_SQL} + least(1, 1e6 / greatest(user_id * 39937.0, 1)) + CASE WHEN event_id % 3 = 0 THEN least(1, (event_id % 6) / 3.0) ELSE 0 END) / (8 + (event_id % 3 = 0)::INT), 9) AS health FROM events WHERE value IS NOT NULL AND event_id % 5 > 0
+@query(f"""SELECT event_id, round(({_HEALTH_SQL} + least(1, 1e6 / greatest(user_id * 39937e0, 1)) + CASE WHEN event_id % 3 = 0 THEN least(1, (event_id % 6) / 3e0) ELSE 0 END) / (8 + (event_id % 3 = 0)::INT), 9) AS health FROM events WHERE value IS NOT NULL AND event_id % 5 > 0
   UNION ALL SELECT event_id, NULL FROM events WHERE value IS NULL OR event_id % 5 = 0""")
 def structural_health(spark: SparkSession, d: str) -> DataFrame:
     cols = {c: f"double({e})" for c, (e, _) in _HEALTH_METRICS.items()}
