@@ -37,7 +37,8 @@ ALPHA = 0.1
 TOLERANCE = 1e-3  # log-likelihood a token by which two sweeps must better it
 SHAPES = 24
 HOLE = 255
-CHUNK = 4 << 20
+CHUNK = 2 << 20
+HELD_ROWS = 40_000  # that a task takes together, besides those of its last word or document
 TABLE_PARTS = 32  # of the table of bigrams
 
 TABLE = bytes(32 if IS_SPACE[b] else LOWER[b] for b in range(256))
@@ -359,7 +360,7 @@ def _assigned(contexts: DataFrame, joint: np.ndarray) -> DataFrame:
                 continue
             held.append(b)
             rows += b.num_rows
-            if rows < 40_000:
+            if rows < HELD_ROWS:
                 continue
             table = pa.Table.from_batches(held).combine_chunks()
             same = pc.equal(table.column("word"), table.column("word")[-1]).combine_chunks()
@@ -467,54 +468,89 @@ def _score_rows(docs: DataFrame, shared) -> DataFrame:
     return docs.select("x", "y", "doc_id", "held_out", "text").mapInArrow(score, "word binary, x long, y long, k int, shape int, " + DOC)
 
 
+def _finish(table: pa.Table, model: ClassModel) -> pa.RecordBatch:
+    """Scores of the documents whose rows these are, one document's after the other: holes are filled with the classes of the words that were found."""
+    col = lambda c: table.column(c).combine_chunks()
+    boundary = len(model.step) - 1
+    x, y = col("x").to_numpy(), col("y").to_numpy()
+    new = np.ones(len(x), dtype=bool)
+    new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    group = np.cumsum(new) - 1
+    m = int(group[-1]) + 1
+    own = np.array(col("line").is_valid())
+    copies = np.bincount(group[own], minlength=m)
+    doc = np.flatnonzero(own)
+    doc = doc[np.unique(group[doc], return_index=True)[1]]  # copies of a document have the same line
+    d = table.select([c.split()[0] for c in DOC.split(", ")]).take(pa.array(doc)).combine_chunks()
+    line, line_ends = _flat(_one(d, "line"), np.uint8)
+    hole, _ = _flat(_one(d, "holes"), np.dtype("<u4"))
+    word = np.flatnonzero(~own)
+    k, shape_of = col("k").take(pa.array(word)).to_numpy().astype(np.int64), col("shape").take(pa.array(word)).to_numpy()
+    each = np.zeros(m, np.int64)
+    np.maximum.at(each, group[word], k + 1)
+    base = np.cumsum(each) - each
+    slot = base[group[word]] + k
+    c, cls, shape = (np.zeros(int(each.sum()), np.int64) for _ in range(3))
+    found_c, found_cls = col("c").take(pa.array(word)), col("class").take(pa.array(word))
+    c[slot] = pc.fill_null(found_c, 0).to_numpy()
+    shape[slot] = shape_of
+    cls[slot] = np.where(np.array(found_c.is_valid()), pc.fill_null(found_cls, 0).to_numpy(), model.shape_class[shape_of])
+    text = np.repeat(np.arange(m), np.diff(line_ends))
+    whole = line.astype(np.int64)
+    at = np.flatnonzero(line == HOLE)
+    of = base[text[at]] + hole
+    whole[at] = cls[of]
+    found = c[of] > 0
+    seen = np.bincount(text[at][found], minlength=m)
+    logs = np.bincount(text[at][found], weights=np.log10(c[of][found] + 1.0), minlength=m)
+    emitted = np.bincount(text[at], weights=np.where(found, np.log10(np.maximum(c[of], 1)) - model.mass[cls[of]], model.unseen[shape[of]]), minlength=m)
+    full = np.full(len(whole) + m + 1, boundary)
+    full[np.arange(len(whole)) + text + 1] = whole
+    steps = model.step[full[:-1], full[1:]]
+    last = line_ends[1:] + np.arange(m)  # each text's step to its end
+    stepped = np.add.reduceat(steps, np.concatenate(([0], last[:-1] + 1)))
+    again = pa.array(np.repeat(np.arange(m), copies))
+    n_tokens = np.diff(line_ends) + 1
+    log_counts = _one(d, "logs").to_numpy() + logs + np.log10(model.ends + 1.0)
+    base_score = log_counts - n_tokens * np.log10(model.tokens + model.distinct + 1)
+    score = stepped + emitted + _one(d, "emitted").to_numpy()
+    n_known = _one(d, "known").to_numpy() + seen + (model.ends > 0)
+    cols = [_one(d, "doc_id"), _one(d, "held_out"), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(m, model.tokens)), pa.array(base_score), pa.array(score), pa.array(10.0 ** (-score / n_tokens))]
+    return pa.record_batch([v.take(again) for v in cols], names=[n.split()[0] for n in SCORES.split(", ")])
+
+
+def _one(table: pa.Table, name: str) -> pa.Array:
+    c = table.column(name)
+    return c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
+
+
 def _scored(rows: DataFrame, shared) -> DataFrame:
-    """Rows (d, copies, words) to scores: holes are filled with the classes of the words that were found."""
+    """Rows of documents and their words to scores. They are sorted by document, so that each task holds few at a time."""
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settle()
         _, model = shared.value
-        boundary = len(model.step) - 1
+        held: list[pa.RecordBatch] = []
+        n = 0
         for b in batches:
-            m = b.num_rows
-            if not m:
+            if not b.num_rows:
                 continue
-            d, copies, words = b.column(0), b.column(1).to_numpy(), b.column(2)
-            line, line_ends = _flat(d.field("line"), np.uint8)
-            hole, hole_ends = _flat(d.field("holes"), np.dtype("<u4"))
-            each = np.diff(words.offsets.to_numpy())
-            got = words.flatten()
-            owner = np.repeat(np.arange(m), each)
-            base = np.cumsum(each) - each
-            slot = base[owner] + got.field("k").to_numpy()
-            c, cls, shape = (np.zeros(len(owner), np.int64) for _ in range(3))
-            seen_here = np.array(got.field("c").is_valid())
-            c[slot] = pc.fill_null(got.field("c"), 0).to_numpy()
-            shape[slot] = got.field("shape").to_numpy()
-            cls[slot] = np.where(seen_here, pc.fill_null(got.field("class"), 0).to_numpy(), model.shape_class[got.field("shape").to_numpy()])
-            text = np.repeat(np.arange(m), np.diff(line_ends))
-            whole = line.astype(np.int64)
-            at = np.flatnonzero(line == HOLE)
-            of = base[text[at]] + hole
-            whole[at] = cls[of]
-            found = c[of] > 0
-            seen = np.bincount(text[at][found], minlength=m)
-            logs = np.bincount(text[at][found], weights=np.log10(c[of][found] + 1.0), minlength=m)
-            emitted = np.bincount(text[at], weights=np.where(found, np.log10(np.maximum(c[of], 1)) - model.mass[cls[of]], model.unseen[shape[of]]), minlength=m)
-            full = np.full(len(whole) + m + 1, boundary)
-            full[np.arange(len(whole)) + text + 1] = whole
-            steps = model.step[full[:-1], full[1:]]
-            last = line_ends[1:] + np.arange(m)  # each text's step to its end
-            stepped = np.add.reduceat(steps, np.concatenate(([0], last[:-1] + 1)))
-            again = pa.array(np.repeat(np.arange(m), copies))
-            n_tokens = np.diff(line_ends) + 1
-            n_known = d.field("known").to_numpy() + seen + (model.ends > 0)
-            log_counts = d.field("logs").to_numpy() + logs + np.log10(model.ends + 1.0)
-            base_score = log_counts - n_tokens * np.log10(model.tokens + model.distinct + 1)
-            score = stepped + emitted + d.field("emitted").to_numpy()
-            cols = [d.field("doc_id"), d.field("held_out"), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(m, model.tokens)), pa.array(base_score), pa.array(score), pa.array(10.0 ** (-score / n_tokens))]
-            yield pa.record_batch([x.take(again) for x in cols], names=[s.split()[0] for s in SCORES.split(", ")])
-
-    return rows.mapInArrow(finish, SCORES)
+            held.append(b)
+            n += b.num_rows
+            if n < HELD_ROWS:
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            x, y = _one(table, "x").to_numpy(), _one(table, "y").to_numpy()
+            stop = int(np.flatnonzero((x != x[-1]) | (y != y[-1]))[-1:].sum()) + 1 if ((x != x[-1]) | (y != y[-1])).any() else 0
+            if stop:  # the last document may go on
+                yield _finish(table.slice(0, stop), model)
+            held = table.slice(stop).to_batches()
+            n = table.num_rows - stop
+        if n:
+            yield _finish(pa.Table.from_batches(held).combine_chunks(), model)
+
+    names = ["x", "y", "k", "shape", "c", "class", *(c.split()[0] for c in DOC.split(", "))]
+    return rows.select(*names).repartition("x", "y").sortWithinPartitions("x", "y").mapInArrow(finish, SCORES)
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
@@ -572,10 +608,7 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, frequent: int = FREQUE
     shared = spark.sparkContext.broadcast((v, model))
     rows = _score_rows(texts, shared)
     joined = rows.join(rest.where(F.col("c") < least).select("word", "c", "class"), "word", "left")
-    doc = [c.split()[0] for c in DOC.split(", ")]
-    found = F.when(F.col("line").isNull(), F.struct("k", "c", "class", "shape"))
-    per_doc = joined.groupBy("x", "y").agg(F.max(F.struct(*doc)).alias("d"), F.sum(F.col("line").isNotNull().cast("long")).alias("copies"), F.collect_set(found).alias("words"))
-    return _scored(per_doc.select("d", "copies", "words"), shared)
+    return _scored(joined, shared)
 
 
 def _core_bigrams(bigrams: DataFrame, core: int, label: np.ndarray, total: int) -> np.ndarray:
