@@ -6,12 +6,14 @@ to the class that most raises the likelihood of class bigrams:
 * the core, words that make at least one in 20,000 tokens, with a symbol for the shape of all others (last
   character, letters beyond ASCII, length). Their bigrams are counted once and kept as a table; a sweep sums it by
   the classes of either side and moves every other symbol, until no two sweeps raise the likelihood any more;
-* every other word of the training documents, however many there are, is exchanged once against the classes that
-  the core has made: its neighbours' classes come together by word, and no list of words goes to the driver.
+* every other word that occurs twice, however many there are, is exchanged once against the classes that the
+  core has made: its neighbours' classes come together by word, and no list of words goes to the driver. Rarer
+  words stay with their shape: a class chosen by one place fits that place and no others.
 
-Then P(word | before) = P(class | class before) * P(word | class), with add-alpha transitions. A class keeps a
-share for words that were never seen, by the number of words seen once of their shape. Every text ends with an end
-token that has a class of its own.
+These words don't sharpen the class bigrams that chose their classes: the bigrams are those of the core and the
+shapes, scaled to the classes' final sizes. Then P(word | before) = P(class | class before) * P(word | class).
+Transitions are smoothed by the classes' own shares. A class keeps a share for words that were never seen, by the
+number of words seen once of their shape. Every text ends with an end token that has a class of its own.
 
 A bounded number of the most frequent words, with their counts and classes, goes to all executors. The other words
 are joined: each document sends its own rare words once each, and none of these is frequent in training.
@@ -33,7 +35,8 @@ from .common import IS_SPACE, LOWER, cut, fold, in_chunks, settle, texts_of
 FREQUENT = 100_000  # words whose counts and classes every executor gets
 CORE = 5e-5  # share of the tokens from which a word takes part in all sweeps; so at most 20,000 do
 CLASSES = 40
-ALPHA = 0.1
+LEAST = 2  # occurrences from which a word outside the core is exchanged
+PRIOR = 50.0  # weight, in tokens, of the classes' own shares in a transition
 TOLERANCE = 1e-3  # log-likelihood a token by which two sweeps must better it
 SHAPES = 24
 HOLE = 255
@@ -282,26 +285,25 @@ def _sweep(label: np.ndarray, joint: np.ndarray, out: np.ndarray, into: np.ndarr
         label[w] = new
 
 
+def smoothed(joint: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """P(class | class before), smoothed by the classes' shares, and these."""
+    share = (joint.sum(0) + 1) / (joint.sum() + len(joint))
+    return (joint + PRIOR * share) / (joint.sum(1, keepdims=True) + PRIOR), share
+
+
 def best_classes(after: np.ndarray, before: np.ndarray, joint: np.ndarray) -> np.ndarray:
-    """For words with counts by the class after and before (words, classes): the class that most raises the likelihood of joint; ties to the lesser."""
-    classes = len(joint) - 1
-    gain = np.zeros((len(after), classes))
-    for counts, side in ((after, joint), (before, joint.T)):
-        # side[k, j]: class k beside class j
-        w, j = np.nonzero(counts)
-        for x in range(0, len(w), 1 << 16):
-            ww, jj = w[x : x + (1 << 16)], j[x : x + (1 << 16)]
-            held = side[:classes, jj].T
-            add = _xlogx(held + counts[ww, jj][:, None]) - _xlogx(held)
-            starts = np.flatnonzero(np.concatenate(([True], ww[1:] != ww[:-1])))
-            gain[ww[starts]] += np.add.reduceat(add, starts, axis=0)
-        total = side.sum(1)[:classes]
-        gain -= _xlogx(total + counts.sum(1, keepdims=True)) - _xlogx(total)
+    """For words with counts by the class after and before (words, classes): the class that most raises the likelihood of their places; ties to the lesser.
+
+    That is by the smoothed bigrams as they are: each word is one of very many, and if each counted on what it
+    alone would add, all would go to the smallest class.
+    """
+    step, share = smoothed(joint)
+    gain = (after @ np.log(step).T + before @ np.log(step / share))[:, : len(joint) - 1]
     return (gain >= gain.max(axis=1, keepdims=True) - 1e-9).argmax(axis=1)
 
 
 def _contexts(texts: DataFrame, shared, label: np.ndarray) -> DataFrame:
-    """Rows (word, shape, beside) of the words outside the core: for each occurrence a byte for the class before and one for the class after, its highest bit set where the word after is outside the core too."""
+    """Rows (word, shape, beside) of the words outside the core: for each occurrence a byte for the class before and one for the class after. A neighbour outside the core has the class of its shape."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settle()
@@ -311,10 +313,10 @@ def _contexts(texts: DataFrame, shared, label: np.ndarray) -> DataFrame:
                 w = words_of(chunk)
                 symbol = v.symbols(w)
                 rest = symbol >= v.core
-                line, at = _line((label[symbol] | rest << 7)[w.code], w, int(label[-1]))
+                line, at = _line(label[symbol][w.code], w, int(label[-1]))
                 mine = np.flatnonzero(rest[w.code])
                 mine = mine[np.argsort(w.code[mine], kind="stable")]
-                beside = np.stack((line[at[mine] - 1] & 127, line[at[mine] + 1]), axis=1).astype(np.uint8).ravel()
+                beside = np.stack((line[at[mine] - 1], line[at[mine] + 1]), axis=1).astype(np.uint8).ravel()
                 n = np.bincount(w.code[mine], minlength=len(w.word))
                 some = np.flatnonzero(n)
                 yield pa.record_batch([w.word.take(pa.array(some)), pa.array(w.shape[some].astype(np.int32)), _binary(beside, np.concatenate(([0], np.cumsum(n[some]))) * 2)], names=["word", "shape", "beside"])
@@ -322,17 +324,14 @@ def _contexts(texts: DataFrame, shared, label: np.ndarray) -> DataFrame:
     return texts.select("text").mapInArrow(rows, "word binary, shape int, beside binary")
 
 
-ASSIGNED = "word binary, shape int, c long, class int, pair int, n long"
-
+ASSIGNED = "word binary, shape int, c long, class int"
 
-def _assigned(contexts: DataFrame, joint: np.ndarray) -> DataFrame:
-    """Rows (word, shape, c, class) of each word, and rows (pair, n) with the class bigrams that its class makes, word null.
 
-    A bigram is counted by its second word if that is outside the core, else by its first.
-    """
+def _assigned(contexts: DataFrame, joint: np.ndarray, shape_class: np.ndarray, least: int) -> DataFrame:
+    """Rows (word, shape, c, class) of each word; those of fewer than `least` occurrences have the class of their shape."""
     total = len(joint)
 
-    def choose(table: pa.Table, bigrams: np.ndarray) -> pa.RecordBatch:
+    def choose(table: pa.Table) -> pa.RecordBatch:
         word = table.column("word").combine_chunks().dictionary_encode()
         which = word.indices.to_numpy()
         raw = table.column("beside").combine_chunks()
@@ -340,19 +339,16 @@ def _assigned(contexts: DataFrame, joint: np.ndarray) -> DataFrame:
         beside = np.frombuffer(raw.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(-1, 2).astype(np.int64)
         owner = np.repeat(which, np.diff(ends) // 2)
         n = len(word.dictionary)
-        after, before = (np.bincount(owner * total + beside[:, k] % 128, minlength=n * total).reshape(n, total) for k in (1, 0))
-        to = best_classes(after, before, joint)
-        np.add.at(bigrams, beside[:, 0] * total + to[owner], 1)
-        ends_core = beside[:, 1] < 128
-        np.add.at(bigrams, to[owner[ends_core]] * total + beside[ends_core, 1], 1)
+        after, before = (np.bincount(owner * total + beside[:, k], minlength=n * total).reshape(n, total) for k in (1, 0))
         shape = np.zeros(n, np.int32)
         shape[which] = table.column("shape").to_numpy()
-        nothing = pa.nulls(n, pa.int32())
-        return pa.record_batch([word.dictionary, pa.array(shape), pa.array(after.sum(1)), pa.array(to.astype(np.int32)), nothing, nothing.cast(pa.int64())], names=["word", "shape", "c", "class", "pair", "n"])
+        to = shape_class[shape]
+        often = np.flatnonzero(after.sum(1) >= least)
+        to[often] = best_classes(after[often], before[often], joint)
+        return pa.record_batch([word.dictionary, pa.array(shape), pa.array(after.sum(1)), pa.array(to.astype(np.int32))], names=["word", "shape", "c", "class"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settle()
-        bigrams = np.zeros(total * total, np.int64)
         held: list[pa.RecordBatch] = []
         rows = 0
         for b in batches:
@@ -366,15 +362,11 @@ def _assigned(contexts: DataFrame, joint: np.ndarray) -> DataFrame:
             same = pc.equal(table.column("word"), table.column("word")[-1]).combine_chunks()
             stop = table.num_rows - int(pc.sum(same.cast(pa.int64())).as_py())  # the last word may go on
             if stop:
-                yield choose(table.slice(0, stop), bigrams)
+                yield choose(table.slice(0, stop))
             held = table.slice(stop).to_batches()
             rows = table.num_rows - stop
         if rows:
-            yield choose(pa.Table.from_batches(held).combine_chunks(), bigrams)
-        pair = np.flatnonzero(bigrams)
-        if len(pair):
-            no = pa.nulls(len(pair), pa.int32())
-            yield pa.record_batch([pa.nulls(len(pair), pa.binary()), no, no.cast(pa.int64()), no, pa.array(pair.astype(np.int32)), pa.array(bigrams[pair])], names=["word", "shape", "c", "class", "pair", "n"])
+            yield choose(pa.Table.from_batches(held).combine_chunks())
 
     return contexts.repartition("word").sortWithinPartitions("word").mapInArrow(run, ASSIGNED)
 
@@ -397,7 +389,7 @@ class ClassModel:
 def class_model(joint: np.ndarray, shape_class: np.ndarray, class_tokens: np.ndarray, once: np.ndarray, distinct_of: np.ndarray, label: np.ndarray, tokens: int, distinct: int, ends: int) -> ClassModel:
     """class_tokens: tokens of the words of each class; once and distinct_of: words seen once, and words, of each shape."""
     total = len(joint)
-    step = np.log10((joint + ALPHA) / (joint.sum(1, keepdims=True) + ALPHA * total))
+    step = np.log10(smoothed(joint)[0])
     spare = once + 1.0
     mass = class_tokens.astype(np.float64)
     np.add.at(mass, shape_class, spare)
@@ -565,7 +557,7 @@ def _flat(column: pa.BinaryArray, dtype) -> tuple[np.ndarray, np.ndarray]:
     return raw.copy().view(dtype), (ends - ends[0]) // width
 
 
-def score(docs: DataFrame, folds: int = 7, held: int = 2, frequent: int = FREQUENT, core: float = CORE, classes: int = CLASSES) -> DataFrame:
+def score(docs: DataFrame, folds: int = 7, held: int = 2, frequent: int = FREQUENT, core: float = CORE, classes: int = CLASSES, least_count: int = LEAST) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and perplexity of each row of docs (doc_id, text).
 
     Training takes every row outside the held-out fold, however many. A null text is empty: its end token
@@ -593,41 +585,23 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, frequent: int = FREQUE
     label = exchange(loop, vectors, classes)
     joint = np.zeros((total, total))
     np.add.at(joint, label, vectors(label)[0])
-    assigned = cut(_assigned(_contexts(train, shared, label), joint), "lm-classes")
-    final = _core_bigrams(bigrams, v.core, label, total)
-    made = assigned.where("word is null").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most total * total rows
-    final.ravel()[made.column("pair").to_numpy()] += made.column("n").to_numpy()
-    rest = assigned.where("word is not null").select("word", "shape", "c", "class")
+    rest = cut(_assigned(_contexts(train, shared, label), joint, label[v.core : v.core + SHAPES], least_count), "lm-classes")
     class_tokens = np.bincount(label[: v.core], weights=v.count[: v.core], minlength=total)
     for r in rest.groupBy("class").agg(F.sum("c").alias("n")).collect():
         class_tokens[r["class"]] += r["n"]
     once, distinct_of = np.zeros(SHAPES), np.zeros(SHAPES)
     for r in counts.groupBy("shape").agg(F.count("*").alias("v"), F.sum((F.col("c") == 1).cast("long")).alias("once")).collect():
         once[r["shape"]], distinct_of[r["shape"]] = r["once"], r["v"]
-    model = class_model(final, label[v.core : v.core + SHAPES], class_tokens, once, distinct_of, _labels(v, label, rest, least), tokens, distinct, ends)
+    # a class's words outside the core are taken to follow and to be followed as those inside it
+    grown = class_tokens / np.maximum(joint.sum(0), 1)
+    grown[-1] = 1
+    model = class_model(joint * grown * grown[:, None], label[v.core : v.core + SHAPES], class_tokens, once, distinct_of, _labels(v, label, rest, least), tokens, distinct, ends)
     shared = spark.sparkContext.broadcast((v, model))
     rows = _score_rows(texts, shared)
     joined = rows.join(rest.where(F.col("c") < least).select("word", "c", "class"), "word", "left")
     return _scored(joined, shared)
 
 
-def _core_bigrams(bigrams: DataFrame, core: int, label: np.ndarray, total: int) -> np.ndarray:
-    """Class bigrams of the pairs in which neither symbol is a shape."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(total * total, np.int64)
-        for batch in batches:
-            a, b, n = (c.to_numpy().astype(np.int64) for c in batch.columns)
-            inside = ((a < core) | (a == len(label) - 1)) & ((b < core) | (b == len(label) - 1))
-            np.add.at(sums, (label[a] * total + label[b])[inside], n[inside])
-        yield pa.record_batch([pa.array(np.arange(total * total)), pa.array(sums)], names=["pair", "n"])
-
-    got = bigrams.mapInArrow(add, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros((total, total))
-    out.ravel()[got.column("pair").to_numpy()] = got.column("n").to_numpy()
-    return out
-
-
 def _labels(v: Vocabulary, label: np.ndarray, rest: DataFrame, least: int) -> np.ndarray:
     """The class of each frequent word."""
     got = rest.where(F.col("c") >= least).select("word", "class").toArrow()  # bounded as the frequent words are

@@ -354,35 +354,31 @@ def slow_scores(rows, held, classes, core_share):
     joint = np.zeros((classes + 1, classes + 1))
     for a, b in np.argwhere(dense):
         joint[label[a], label[b]] += dense[a, b]
-    f = lambda x: x * math.log(x) if x > 0 else 0.0
+    share = (joint.sum(0) + 1) / (joint.sum() + classes + 1)
+    p = (joint + brown_lm.PRIOR * share) / (joint.sum(1, keepdims=True) + brown_lm.PRIOR)
     of = {w: int(label[number[w]]) for w in core}
     for w in count:
         if w in number:
             continue
+        of[w] = int(label[symbol(w)])
+        if count[w] < 2:
+            continue
         after, before = Counter(), Counter()
         for t in train:
             for i, u in enumerate(t):
                 if u == w:
                     before[int(label[symbol(t[i - 1]) if i else -1])] += 1
                     after[int(label[symbol(t[i + 1]) if i + 1 < len(t) else -1])] += 1
-        gain = []
-        for k in range(classes):
-            g = sum(f(joint[k, j] + n) - f(joint[k, j]) for j, n in after.items()) + sum(f(joint[j, k] + n) - f(joint[j, k]) for j, n in before.items())
-            n, row, col = count[w], joint[k].sum(), joint[:, k].sum()
-            gain.append(g - f(row + n) + f(row) - f(col + n) + f(col))
+        gain = [sum(n * math.log(p[k, j]) for j, n in after.items()) + sum(n * math.log(p[j, k] / share[k]) for j, n in before.items()) for k in range(classes)]
         of[w] = next(k for k in range(classes) if gain[k] >= max(gain) - 1e-9)
-    final = np.zeros_like(joint)
-    near = lambda w: int(label[symbol(w)])
-    for t in train:
-        line = [None, *t, None]
-        for a, b in zip(line, line[1:]):
-            rare_b, rare_a = b is not None and b not in number, a is not None and a not in number
-            first = classes if a is None else near(a) if rare_b or not rare_a else of[a]
-            final[first, classes if b is None else of[b]] += 1
-    step = np.log10((final + brown_lm.ALPHA) / (final.sum(1, keepdims=True) + brown_lm.ALPHA * (classes + 1)))
+    size_of = [sum(count[w] for w in count if of[w] == c) for c in range(classes)]
+    grown = np.array([n / max(1, joint[:, c].sum()) for c, n in enumerate(size_of)] + [1.0])
+    final = joint * grown * grown[:, None]
+    share = (final.sum(0) + 1) / (final.sum() + classes + 1)
+    step = np.log10((final + brown_lm.PRIOR * share) / (final.sum(1, keepdims=True) + brown_lm.PRIOR))
     shape_class = label[len(core) : -1]
     spare = [1 + sum(count[w] == 1 and shape[w] == k for w in count) for k in range(brown_lm.SHAPES)]
-    mass = [sum(count[w] for w in count if of[w] == c) + sum(s for s, k in zip(spare, shape_class) if k == c) for c in range(classes)]
+    mass = [size_of[c] + sum(s for s, k in zip(spare, shape_class) if k == c) for c in range(classes)]
     out = []
     for doc_id, t in texts:
         total, last = 0.0, classes
@@ -429,6 +425,15 @@ def test_classes_are_a_distribution():
         assert abs(seen + unseen - 1) < 1e-9
 
 
+def test_classes_tell_held_out_texts_from_noise(spark):
+    """Two kinds of words that alternate: the class model must beat the words' own shares on texts that it has not seen."""
+    r = random.Random(12)
+    rows = [(i, " ".join(f"{'pq'[k % 2]}{min(199, int(r.expovariate(0.02)))}" for k in range(r.randint(20, 60)))) for i in range(400)]
+    got = [x for x in brown_lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect() if x["held_out"]]
+    n = sum(x["n_tokens"] for x in got)
+    assert sum(x["score"] for x in got) / n > sum(x["base_score"] for x in got) / n + 0.15
+
+
 def test_exchange_raises_the_likelihood():
     r = np.random.default_rng(1)
     n = r.poisson(1.0, (30, 30))
