@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a temporary one only where none is set, as in tests."""
+    """The folder that spark.checkpoint.dir names; a temporary one only where none is set and Spark runs on one machine, as in tests."""
     set_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not set_dir:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         set_dir = "file://" + tempfile.mkdtemp(prefix="lumenmap-")
         spark.conf.set("spark.checkpoint.dir", set_dir)
     return set_dir.rstrip("/")
