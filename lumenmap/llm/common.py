@@ -35,14 +35,14 @@ def for_texts(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def settle() -> None:
-    """In a Python worker, at the start of a task that doesn't tokenize: give back what earlier tasks left.
+def settle(encoders: bool = False) -> None:
+    """In a Python worker, at the start of a task: give back what earlier tasks left, the token encoders too unless they are kept.
 
     Workers are used again for other stages; the caches of the token encoders and freed memory that the
     allocators keep would else add up.
     """
     tokens = sys.modules.get("lumenmap.llm.tokens")
-    if tokens is not None:
+    if tokens is not None and not encoders:
         tokens.release()
     gc.collect()
     pa.default_memory_pool().release_unused()

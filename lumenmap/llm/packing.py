@@ -117,13 +117,14 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """uid (unique for the row), doc_id, Hilbert key, number of ids and ids of each row; a null text is empty."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle(encoders=True)
         enc = encoder(tokenizer)
         end, width = np.array([end_id], dtype=enc.dtype).tobytes(), enc.dtype.itemsize
         table = projection(max(enc.size, end_id + 1))
         uid = TaskContext.get().partitionId() << 33
         for whole in batches:
-            for k in range(0, whole.num_rows, 2000):
-                b = whole.slice(k, 2000)
+            for k in range(0, whole.num_rows, 500):
+                b = whole.slice(k, 500)
                 rows = [ids + end for ids in enc.encode_all(texts_of(b.column(1)))]
                 keys = document_keys([np.frombuffer(r, enc.dtype)[:-1] for r in rows], table)
                 n = pa.array([len(r) // width for r in rows], pa.int64())

@@ -128,6 +128,7 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0,
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
+        settle(encoders=True)
         enc = encoder(tokenizer)
         end, width = np.array([end_id], dtype=enc.dtype).tobytes(), enc.dtype.itemsize
         writer = _Writer(folder, context.partitionId(), context.taskAttemptId(), file_bytes)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,8 @@ BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 CONTRACTIONS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
 
-PIECES = 200_000  # entries of a cache, held up to twice
-BATCH_BYTES = 4 << 20  # of texts that are encoded at once
+PIECES = 100_000  # entries of a cache, held up to twice
+BATCH_BYTES = 2 << 20  # of texts that are encoded at once
 LONG_PIECE = 64  # bytes; longer ones are left to the library's model
 
 SPACE, LETTER, NUMBER, OTHER = range(4)
@@ -149,18 +150,16 @@ class Encoder:
     """added: whether texts may hold the file's added tokens, as encode() has it by default; else these are ordinary text."""
 
     def __init__(self, path: str, added: bool = False):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = not added
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
+        self.path, self.matches_added = path, added
         with open(path, encoding="utf-8") as f:
             rules = json.load(f)
+        known = set(rules.get("model", {}).get("vocab") or ()) | {t["content"] for t in rules.get("added_tokens") or []}
+        self.size = len(known)
+        self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.merges = None
         self.kind = self._kind(rules)
         self.added = [t["content"].lower() for t in rules.get("added_tokens") or []] if added else []  # files may lower texts first
-        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.letters = byte_letters()
         if self.kind != "other":
             self.merges = Merges(rules["model"])
             if not self.merges.whole:
@@ -168,6 +167,19 @@ class Encoder:
         self.pattern = regex.compile(BYTE_LEVEL_PATTERN if self.kind == "spaces kept" else WORD_PATTERN)
         self.pieces = Recent(PIECES)
 
+    @cached_property
+    def tokenizer(self) -> Tokenizer:
+        """The library's own, loaded for the first text that needs it."""
+        t = Tokenizer.from_file(self.path)
+        t.encode_special_tokens = not self.matches_added
+        t.no_padding()
+        t.no_truncation()
+        return t
+
+    @cached_property
+    def model(self):
+        return self.tokenizer.model
+
     @staticmethod
     def _kind(rules: dict) -> str:
         pre, normal, model = rules.get("pre_tokenizer") or {}, rules.get("normalizer"), rules.get("model") or {}
