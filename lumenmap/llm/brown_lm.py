@@ -34,9 +34,9 @@ from .common import IS_SPACE, LOWER, cut, fold, in_chunks, settle, texts_of
 
 FREQUENT = 100_000  # words whose counts and classes every executor gets
 CORE = 5e-5  # share of the tokens from which a word takes part in all sweeps; so at most 20,000 do
-CLASSES = 40
+CLASSES = 80
 LEAST = 2  # occurrences from which a word outside the core is exchanged
-PRIOR = 50.0  # weight, in tokens, of the classes' own shares in a transition
+PRIOR = 200.0  # weight, in tokens, of the classes' own shares in a transition
 TOLERANCE = 1e-3  # log-likelihood a token by which two sweeps must better it
 SHAPES = 24
 HOLE = 255
