@@ -429,7 +429,7 @@ def test_classes_tell_held_out_texts_from_noise(spark):
     """Two kinds of words that alternate: the class model must beat the words' own shares on texts that it has not seen."""
     r = random.Random(12)
     rows = [(i, " ".join(f"{'pq'[k % 2]}{min(199, int(r.expovariate(0.02)))}" for k in range(r.randint(20, 60)))) for i in range(400)]
-    got = [x for x in brown_lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect() if x["held_out"]]
+    got = [x for x in brown_lm.score(spark.createDataFrame(rows, "doc_id long, text string"), classes=40).collect() if x["held_out"]]
     n = sum(x["n_tokens"] for x in got)
     assert sum(x["score"] for x in got) / n > sum(x["base_score"] for x in got) / n + 0.15
 
