@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import clip, col, cosine, finite, jaccard, reasons
+from ..storage import cut
+from .vectors import best_by_tag
 from .windows import longest_run, top_k
 
 # features
@@ -102,12 +104,14 @@ def select_features(records: DataFrame, k: int, by: Sequence[str] = ("map",), pr
 def uniqueness(queries: DataFrame, kept: DataFrame, id_col: str = "feature", vector: str = "vector") -> DataFrame:
     """For each query the least cosine distance to a kept vector: -1 without a vector, 1 where nothing is kept.
 
-    Vectors are compared in blocks: kept ones are dealt to tasks, each of which keeps one minimum for each query.
-    queries is the small side; Spark's own size check decides whether it travels to all tasks.
+    Vectors are compared in blocks (see vectors); each task keeps one minimum for each query.
     """
     q = queries.select(F.col(id_col).alias("_q"), F.col(vector).alias("_v"))
-    near = q.where("_v is not null").join(kept.select(F.col(vector).alias("_w")).where("_w is not null"), F.size("_v") == F.size("_w")).groupBy("_q").agg(F.min(1 - cosine("_v", "_w")).alias("_d"))
-    return q.join(near, "_q", "left").select(F.col("_q").alias(id_col), F.when(F.col("_v").isNull(), -1.0).otherwise(F.coalesce("_d", F.lit(1.0))).alias("uniqueness"))
+    # rows are numbered by their vectors: ids may be of any type, and a vector that is given twice is compared once
+    named = cut(q.where("_v is not null").select("_v").distinct().select(F.monotonically_increasing_id().alias("_n"), "_v"), "uniqueness-queries")
+    found = kept.select(F.col(vector).alias("_v")).where(F.col("_v").isNotNull() & ~F.exists("_v", F.isnan))
+    near = best_by_tag(named, found, "_n", "_v", own=True).where("score is not null").select(F.col("q").alias("_n"), (1 - F.col("score")).alias("_d")).join(named, "_n")
+    return q.join(near.drop("_n"), "_v", "left").select(F.col("_q").alias(id_col), F.when(F.col("_v").isNull(), -1.0).otherwise(F.coalesce("_d", F.lit(1.0))).alias("uniqueness"))
 
 
 # references and places

@@ -1,12 +1,13 @@
 """Searches among vectors in blocks give what comparing every pair gives."""
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from lumenmap.functions.exprs import cosine
-from lumenmap.operators import vectors
+from lumenmap.operators import upkeep, vectors
 from lumenmap.operators import windows as W
 
 
@@ -46,8 +47,26 @@ def test_searches_equal_all_pairs(spark, table):
     assert rows(vectors.nearest(q.limit(0), table, 3, "id", "v")) == rows(vectors.nearest(q, table.limit(0), 3, "id", "v")) == []
 
 
+def test_uniqueness_equals_all_pairs(spark, table):
+    q, kept = table.where("id % 10 = 0 or id > 299"), table.where("id % 10 > 2 and id < 160")
+    got = {r["id"]: r["uniqueness"] for r in upkeep.uniqueness(q, kept, "id", "v").collect()}
+    near = q.alias("x").join(kept.alias("y"), F.size("x.v") == F.size("y.v")).groupBy("x.id").agg(F.min(1 - cosine("x.v", "y.v")).alias("d"))
+    want = {r["id"]: r["d"] for r in near.collect()}
+    assert len(got) == q.count() and got[300] == -1
+    assert all(math.isclose(u, 1.0 if want.get(i) is None else want[i], abs_tol=1e-15) for i, u in got.items() if i != 300)
+
+
 def test_tasks_keep_few_rows(spark, table):
     """A task hands on k rows for each query, not one for each pair."""
     q = table.where("id % 10 = 0")
     got = vectors._search(q.select(F.col("id").alias("q"), "v"), table.where("id is not null").select(F.col("id").alias("r"), "v", "tag").coalesce(1), 9, lambda n: vectors._Best(n, 2), True)
     assert got.count() <= 2 * q.count() * got.rdd.getNumPartitions() < pairs(table, q).count()
+
+
+def test_uniqueness_is_rounded_once(spark, tmp_path):
+    from lumenmap.plans import QUERIES
+
+    # a distance of 0.57109749...: 7 digits first make 0.5710975, then 0.571098
+    c = 1 - 0.57109749
+    spark.createDataFrame([(0, [1.0, 0.0], 0), (1, [c, math.sqrt(1 - c * c)], 1)], "vec_id long, embedding array<double>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert [r["uniqueness"] for r in QUERIES["descriptor_uniqueness"](spark, str(tmp_path)).collect()] == [0.571097]
