@@ -15,9 +15,9 @@ from .windows import longest_run, top_k
 # features
 
 
-def partition_candidates(candidates: DataFrame, by: Sequence[str] = ("map",), feature: str = "feature", order: str = "order") -> tuple[DataFrame, DataFrame]:
-    """The first candidate of each feature, as those with verified geometry and a point, and the others."""
-    first = top_k(candidates, [*by, feature], [order], 1)
+def partition_candidates(candidates: DataFrame, by: Sequence[str] = ("map",), feature: str = "feature", order: str = "order", once: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The first candidate of each feature, or each candidate for itself, as those with verified geometry and a point, and the others."""
+    first = top_k(candidates, [*by, feature], [order], 1) if once else candidates
     good = F.coalesce(F.col("verified"), F.lit(False)) & F.col("point").isNotNull()
     return first.where(good), first.where(~good)
 
@@ -37,14 +37,14 @@ def worst_active(records: DataFrame, by: Sequence[str] = ("map",), temporal: boo
 STRATEGIES = ("STATIC", "LATEST", "AGGRESSIVE", "STRICT", "SUMMARY", "SCORE", "FREMEN")
 
 
-def plan_update(records: DataFrame, events: DataFrame, candidates: DataFrame, strategy: str, gate: DataFrame | None = None, by: Sequence[str] = ("map",), budget: int = 1000, fraction: float = 0.05, least_exchange: int = 1) -> DataFrame:
+def plan_update(records: DataFrame, events: DataFrame, candidates: DataFrame, strategy: str, gate: DataFrame | None = None, by: Sequence[str] = ("map",), budget: int = 1000, fraction: float = 0.05, least_exchange: int = 1, once: bool = True) -> DataFrame:
     """Rows (by, feature, action): ACTIVATE, RETIRE or QUARANTINE, by which a session changes each map.
 
     records: by, feature, state, score, mean_event; events: by, feature, event; candidates: by, feature, point,
     verified, uniqueness, order. gate: by and passed; a map whose gate did not pass doesn't change at all. LATEST
     puts the candidates in place of all; AGGRESSIVE and STRICT exchange features with bad events one for one;
     SUMMARY drops incorrect ones and takes every candidate; SCORE and FREMEN keep to the budget, fill it, and
-    exchange a share of the worst.
+    exchange a share of the worst. once: of several candidates for a feature the first counts; else each does.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy: {strategy}")
@@ -53,7 +53,7 @@ def plan_update(records: DataFrame, events: DataFrame, candidates: DataFrame, st
         records, events, candidates = (x.join(passed, list(by), "left_semi") for x in (records, events, candidates))
     key = [*by, "feature"]
     active = records.where("state = 'ACTIVE'")
-    good, other = partition_candidates(candidates, by)
+    good, other = partition_candidates(candidates, by, once=once)
     act = lambda df, name: df.select(*key, F.lit(name).alias("action"))
     if strategy == "STATIC":
         return act(records.limit(0), "RETIRE")
