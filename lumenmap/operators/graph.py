@@ -77,6 +77,16 @@ def components(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFr
     return nodes.select(node).distinct().join(found, node, "left").select(node, F.coalesce("least", node).alias("component"))
 
 
+def shared_components(seen: DataFrame, node: str = "node", point: str = "point") -> DataFrame:
+    """(node, component) where nodes that share a point are linked, as by components over covisibility with least=1.
+
+    Each node is linked to the least node of each of its points, so the links are no more than the rows.
+    """
+    rows = seen.select(F.col(node).alias("a"), F.col(point).alias("p"))
+    heads = cut(rows.where("p is not null").groupBy("p").agg(F.min("a").alias("b")), "components-heads")
+    return components(rows.select(F.col("a").alias(node)), rows.distinct().join(heads, "p").select("a", "b"), node)
+
+
 def largest_component(members: DataFrame, node: str = "node") -> DataFrame:
     """The members of the component with most nodes; of equal ones that with the least name."""
     sizes = members.groupBy("component").agg(F.count("*").alias("n"))
