@@ -225,18 +225,9 @@ def radius_components(points: DataFrame, id_col: str, xyz: Sequence[str], radius
 # kernels for graphs of bounded size, one group at a time
 
 
-def small_graph_report(pairs: list[tuple[int, int, float]]) -> dict:
-    """Bridges, articulation nodes, algebraic connectivity and its normalised form, for one connected graph."""
-    nodes = sorted({n for a, b, _ in pairs for n in (a, b)})
-    place = {n: i for i, n in enumerate(nodes)}
-    n = len(nodes)
-    near: list[list[int]] = [[] for _ in range(n)]
-    weight = np.zeros((n, n))
-    for a, b, w in pairs:
-        i, j = place[a], place[b]
-        near[i].append(j)
-        near[j].append(i)
-        weight[i, j] = weight[j, i] = w
+def cuts(near: list[list[int]]) -> tuple[set[int], list[tuple[int, int]]]:
+    """Articulation nodes and bridges of a graph that is given as each node's neighbours, by depth-first search."""
+    n = len(near)
     order, low, parent, cut_nodes, bridges, clock = [-1] * n, [0] * n, [-1] * n, set(), [], 0
     for root in range(n):
         if order[root] >= 0:
@@ -263,16 +254,32 @@ def small_graph_report(pairs: list[tuple[int, int, float]]) -> dict:
                     p = stack[-1][0]
                     low[p] = min(low[p], low[v])
                     if low[v] > order[p]:
-                        bridges.append(tuple(sorted((nodes[p], nodes[v]))))
+                        bridges.append((p, v))
                     if p != root and low[v] >= order[p]:
-                        cut_nodes.add(nodes[p])
+                        cut_nodes.add(p)
         if below_root > 1:
-            cut_nodes.add(nodes[root])
+            cut_nodes.add(root)
+    return cut_nodes, bridges
+
+
+def small_graph_report(pairs: list[tuple[int, int, float]]) -> dict:
+    """Bridges, articulation nodes, algebraic connectivity and its normalised form, for one connected graph."""
+    nodes = sorted({n for a, b, _ in pairs for n in (a, b)})
+    place = {n: i for i, n in enumerate(nodes)}
+    n = len(nodes)
+    near: list[list[int]] = [[] for _ in range(n)]
+    weight = np.zeros((n, n))
+    for a, b, w in pairs:
+        i, j = place[a], place[b]
+        near[i].append(j)
+        near[j].append(i)
+        weight[i, j] = weight[j, i] = w
+    cut_nodes, bridges = cuts(near)
     degree = weight.sum(1)
     laplacian = np.diag(degree) - weight
     scale = 1 / np.sqrt(np.maximum(degree, 1e-300))
     plain, normal = np.linalg.eigvalsh(laplacian), np.linalg.eigvalsh(laplacian * scale[:, None] * scale[None, :])
-    return {"nodes": n, "edges": len(pairs), "bridges": sorted(bridges), "articulation": sorted(cut_nodes), "fiedler": float(plain[1]) if n > 1 else 0.0, "lambda2": float(normal[1]) if n > 1 else 0.0}
+    return {"nodes": n, "edges": len(pairs), "bridges": sorted(tuple(sorted((nodes[p], nodes[v]))) for p, v in bridges), "articulation": sorted(nodes[i] for i in cut_nodes), "fiedler": float(plain[1]) if n > 1 else 0.0, "lambda2": float(normal[1]) if n > 1 else 0.0}
 
 
 FRAGILITY = "component long, nodes long, edges long, bridges string, articulation string, fiedler double, lambda2 double"
@@ -291,3 +298,103 @@ def fragility(nodes: DataFrame, edges: DataFrame, most: int = 20_000, node: str
         return pd.DataFrame([(key[0], got["nodes"], got["edges"], *names, got["fiedler"], got["lambda2"])], columns=[c.split()[0] for c in FRAGILITY.split(", ")])
 
     return e.groupBy("component").applyInPandas(report, FRAGILITY)
+
+
+SETS = 1 << 28  # different sets of points, times points, that one component may have
+
+
+def _second(c: np.ndarray, share: np.ndarray, member: np.ndarray, many: np.ndarray, bound: float) -> float:
+    """The second least eigenvalue of diag(c) - B B' for rows sqrt(share) * member of B, each `many` times; it is at most bound.
+
+    By Sylvester's law the eigenvalues below x are as many as the c below x and the negative eigenvalues of
+    I - B' (diag(c) - x)^-1 B, a matrix by points; x is found by halving.
+    """
+    low, high = 0.0, bound * (1 + 1e-9)
+    eye = np.eye(member.shape[1])
+    while high - low > 1e-14 * bound:
+        x = (low + high) / 2
+        if x in (low, high):
+            break
+        gap = np.where(c == x, 1e-300 ** 0.5, c - x)
+        m = eye.copy()
+        for i in range(0, len(c), 65536):
+            part = member[i : i + 65536].astype(np.float64)
+            m -= part.T @ (part * (share * many / gap)[i : i + 65536, None])
+        if many[c < x].sum() + (np.linalg.eigvalsh(m) < 0).sum() >= 2:
+            high = x
+        else:
+            low = x
+    return (low + high) / 2
+
+
+def shared_graph_report(sets: list[Sequence[int]], many: Sequence[int], first: Sequence, last: Sequence, dense: int = 300) -> dict:
+    """small_graph_report of a connected graph whose nodes are linked by each point that they share, without making its pairs.
+
+    sets: the points of nodes, each set once, with the number of nodes that have it and the first and last of
+    them. Graphs of up to `dense` nodes go to small_graph_report where every node is named.
+    """
+    places = {p: j for j, p in enumerate(sorted({p for s in sets for p in s}))}
+    if len(sets) * len(places) > SETS:
+        raise ValueError(f"a component has {len(sets)} sets of {len(places)} points")
+    member = np.zeros((len(sets), len(places)), bool)
+    for i, s in enumerate(sets):
+        member[i, [places[p] for p in s]] = True
+    many = np.array(many, np.int64)
+    n = int(many.sum())
+    if n <= dense and many.max() <= 2:
+        named = [(name, i) for i in range(len(sets)) for name in ((first[i], last[i]) if many[i] > 1 else (first[i],))]
+        pairs = [(a, b, float((member[i] & member[j]).sum())) for x, (a, i) in enumerate(named) for b, j in named[x + 1 :] if (member[i] & member[j]).any()]
+        return small_graph_report(pairs)
+    size = many @ member
+    # pairs with a point in common, each twice, and each node with itself
+    bits = np.zeros((len(sets), -(-len(places) // 64) * 8), np.uint8)
+    packed = np.packbits(member, axis=1)
+    bits[:, : packed.shape[1]] = packed
+    words, total = bits.view(np.uint64), 0
+    for i in range(0, len(sets), 128):
+        met = np.zeros((len(words[i : i + 128]), len(sets)), bool)
+        for w in range(words.shape[1]):
+            met |= (words[i : i + 128, w, None] & words[None, :, w]) != 0
+        total += int(many[i : i + 128] @ (met @ many))
+    # points and nodes as one graph: two nodes stand for all that have the same points
+    named = [(name, i) for i in range(len(sets)) for name in ((first[i], last[i]) if many[i] > 1 else (first[i],))]
+    near: list[list[int]] = [[] for _ in named]
+    of_point: list[list[int]] = [[] for _ in places]
+    for x, (_, i) in enumerate(named):
+        for j in np.nonzero(member[i])[0].tolist():
+            of_point[j].append(x)
+    seen, couples = set(), {}
+    for j, nodes in enumerate(of_point):
+        if size[j] < 2:
+            continue  # a point of one node links nothing
+        if size[j] == 2:
+            if tuple(nodes) in seen:
+                continue  # two nodes that share several points of their own have one edge
+            seen.add(tuple(nodes))
+            couples[len(near)] = nodes
+        for x in nodes:
+            near[x].append(len(near))
+        near.append(nodes)
+    cut_places, _ = cuts(near)
+    bridges = sorted(tuple(sorted(named[x][0] for x in couples[p])) for p in cut_places if p in couples)
+    c = member @ size.astype(np.float64)
+    degree = c - member.sum(1)
+    most = n / (n - 1)
+    fiedler = _second(c, np.ones(len(c)), member, many, most * degree.min())
+    return {"nodes": n, "edges": (total - n) // 2, "bridges": bridges, "articulation": sorted(named[x][0] for x in cut_places if x < len(named)), "fiedler": fiedler, "lambda2": _second(c / degree, 1 / degree, member, many, most)}
+
+
+def shared_fragility(seen: DataFrame, node: str = "node", point: str = "point") -> DataFrame:
+    """fragility over covisibility(seen, least=1), without its pairs: a component's different sets of points are one task's group."""
+    rows = seen.select(F.col(node).alias("node"), F.col(point).alias("p")).where("node is not null and p is not null").distinct()
+    points = cut(rows.groupBy("p").agg(F.count("*").alias("n")).where("n > 1").select("p", F.monotonically_increasing_id().alias("k")), "fragility-points")
+    sets = rows.join(points, "p").groupBy("node").agg(F.sort_array(F.collect_list("k")).alias("points"))
+    sets = sets.groupBy("points").agg(F.count("*").alias("many"), F.min("node").alias("first"), F.max("node").alias("last"))
+    groups = sets.join(shared_components(rows, "node", "p").withColumnRenamed("node", "first"), "first")
+
+    def report(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        got = shared_graph_report(*[group[c].tolist() for c in ("points", "many", "first", "last")])
+        names = [str([list(x) if isinstance(x, tuple) else x for x in got[k]]).replace(" ", "") for k in ("bridges", "articulation")]
+        return pd.DataFrame([(key[0], got["nodes"], got["edges"], *names, got["fiedler"], got["lambda2"])], columns=[c.split()[0] for c in FRAGILITY.split(", ")])
+
+    return groups.groupBy("component").applyInPandas(report, FRAGILITY)
