@@ -71,10 +71,11 @@ def information_summary(column: str = "information") -> Column:
 def pose_quality(matches: DataFrame, by: Sequence[str]) -> DataFrame:
     """Of each pose the inliers by different points, their share, residuals, depths and references; of a point's matches the surest counts.
 
-    matches: by, point, inlier, confidence, error, depth, reference.
+    Of equally sure matches that of the least reference counts, then that of the least error, then of the least
+    depth, so that the order of rows has no say. matches: by, point, inlier, confidence, error, depth, reference.
     """
     all_points = matches.groupBy(*by).agg(F.count_distinct("point").alias("points"), F.count("*").alias("matches"))
-    best = top_k(matches.where("inlier"), [*by, "point"], [F.desc("confidence"), "reference"], 1)
+    best = top_k(matches.where("inlier"), [*by, "point"], [F.desc("confidence"), "reference", "error", "depth"], 1)
     e = F.col("error")
     got = best.groupBy(*by).agg(F.count("*").alias("inliers"), F.sqrt(F.avg(e * e)).alias("rmse"), F.percentile("error", 0.5).alias("p50"), F.percentile("error", 0.9).alias("p90"), F.avg((F.col("depth") > 0).cast("double")).alias("positive_depth_ratio"), F.count_distinct("reference").alias("references"))
     rows = all_points.join(got, list(by), "left").fillna(0, ["inliers", "references"])

@@ -5,6 +5,7 @@ import random
 import pytest
 
 from lumenmap.operators import graph as N
+from lumenmap.operators import poses as P
 
 
 def of_pairs(points):
@@ -49,3 +50,10 @@ def test_shared_queries_equal_those_of_pairs(spark):
     assert got.keys() == want.keys()
     for c, r in want.items():
         assert got[c][:5] == r[:5] and got[c][5:] == pytest.approx(r[5:], abs=1e-9)
+
+
+def test_pose_quality_has_no_open_ties(spark):
+    rows = [(1, p, True, 0.5, float(e), e - 3, 2) for p in range(4) for e in range(6)]
+    for order in (rows, rows[::-1]):
+        got = P.pose_quality(spark.createDataFrame(order, "pose int, point int, inlier boolean, confidence double, error double, depth int, reference int").coalesce(1), ["pose"]).first()
+        assert (got["inliers"], got["rmse"], got["p90"], got["positive_depth_ratio"]) == (4, 0.0, 0.0, 0.0)
