@@ -1,7 +1,8 @@
 """The corpus pipeline: quality rules, quality classifier, near-duplicates, repeated passages, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as
-the next one's docs. All but the last return the columns of documents.
+the next one's docs. All but the last return the columns of documents. What a task holds in memory is kept small,
+so that eight tasks in a heap of 1 GB do.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenmap.llm import compression_classifier, packing, quality_rules, simhash, suffix_dedup
-from lumenmap.llm.common import cut, for_texts, table
+from lumenmap.llm.common import cut, for_texts, small_buffers, table
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -26,6 +27,7 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     A null or empty text has no words and goes; repeated rows are judged each for itself; other columns, whatever
     their names, stay as they are; an empty table gives an empty one.
     """
+    small_buffers(spark)
     model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
     return docs.where(quality_rules.verdict_column(model).getField("kept"))
 
@@ -36,6 +38,7 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
     The model is fitted on the whole documents table: of docs, the first stage has rejected most of label 0.
     Nulls, repeated rows, clashing names and empty tables as in the first stage; an empty text has a score too.
     """
+    small_buffers(spark)
     model = compression_classifier.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return docs.where(compression_classifier.score_column(model) >= 0.3)
 
@@ -43,6 +46,7 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document of the least id stays; see simhash.keep_one for odd rows."""
     for_texts(spark)
+    small_buffers(spark)
     return simhash.keep_one(docs)
 
 
@@ -53,6 +57,7 @@ def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     in the languages at hand. Null texts stay null; see suffix_dedup.without_repeats for other odd rows.
     """
     for_texts(spark)
+    small_buffers(spark)
     got = suffix_dedup.without_repeats(docs, length=PASSAGE_BYTES, gap=PASSAGE_GAP, least_words=PASSAGE_WORDS)
     return got.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else got
 
@@ -60,6 +65,7 @@ def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4,096 tokens along the Hilbert curve; a null text has its end id alone, an empty table no pieces."""
     for_texts(spark)
+    small_buffers(spark)
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 

@@ -331,6 +331,34 @@ def test_stages_on_odd_rows(spark, odd_rows, docs, clashing, no_docs, tmp_path):
         assert stage(spark, no_docs, str(tmp_path)).count() == 0, name
 
 
+def test_stages_hold_little_in_memory(spark, tmp_path):
+    """30 MB of texts in one task: neither the row group it writes nor a batch for Python holds them all, as eight tasks may share a heap."""
+    import pandas as pd
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    pipeline = pytest.importorskip("corpus_pipeline")
+    session = spark.newSession()
+    texts = session.range(0, 500, numPartitions=1).select(F.col("id").alias("doc_id"), F.expr("array_join(transform(sequence(1, 900), i -> sha2(concat(id, '-', i), 256)), ' ')").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    texts.write.parquet(f"{tmp_path}/documents.parquet")
+    session.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    @F.pandas_udf("long")
+    def bytes_at_once(s: pd.Series) -> pd.Series:
+        return pd.Series([int(s.str.len().sum())] * len(s))
+
+    for name, stage in pipeline.STAGES[1:3]:
+        (out := stage(session, session.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))).coalesce(1).write.parquet(f"{tmp_path}/{name[:7]}")
+        assert out.count() == 500
+        files = [pq.ParquetFile(f).metadata for f in (tmp_path / name[:7]).glob("*.parquet")]
+        assert max(m.row_group(i).total_byte_size for m in files for i in range(m.num_row_groups)) < 20e6, name
+        assert out.select(bytes_at_once("text").alias("b")).agg(F.max("b")).first()[0] < 2e6, name
+    own = spark.newSession()
+    own.conf.set("spark.sql.parquet.columnarReaderBatchSize", "100")
+    pipeline.near_duplicate_stage(own, own.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert own.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "100"
+
+
 def test_rows_that_share_an_id_are_kept_by_text(spark):
     rows = [(1, words(1, 60), "a"), (1, words(2, 60), "b"), (1, words(1, 60), "c"), (2, words(1, 60), "d"), (None, words(1, 60), "e")]
     df = spark.createDataFrame(rows, "doc_id long, text string, fp string")
