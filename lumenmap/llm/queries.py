@@ -18,7 +18,7 @@ def op1_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+    return suffix_dedup.digest_with_passages(table(spark, sf_dir, "documents"))
 
 
 def op3_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,10 @@ A place of the corpus with more different runs than one task should sort is part
 dealt by how far before the trigger's end they start, in cells of a few bytes. All strings of a cell share more
 bytes than those of the place, so its parts are places of their own, keyed by the hash of these bytes, and go
 through the same steps with ever smaller cells. In a cell of one byte the shared bytes are the whole string.
+
+Words. Sequences of words go through the same steps as strings: a text becomes the codes of its words, 8 bytes
+each, and only multiples of 8 are places of triggers and starts of strings (`unit`). Words are told apart by 64
+bits of XXH3 and nothing but words counts, so passages are equal whatever white space parts their words.
 """
 
 from __future__ import annotations
@@ -45,6 +49,8 @@ CHUNK = 1 << 20
 LARGE = 1_000  # different runs at one place of the corpus that one task sorts
 CELLS = (32, 8, 1)  # bytes of the cells by which a larger place is parted, one after the other
 SORTED = 10_000  # runs that a task sorts at a time, besides the last place's
+PASSAGE_WORDS = 51  # "over 50 words"
+WORD_CELLS = (64, 16, 8)  # CELLS for word codes
 
 
 def _least(key: np.ndarray, gap: int) -> np.ndarray:
@@ -58,16 +64,25 @@ def _least(key: np.ndarray, gap: int) -> np.ndarray:
     return out
 
 
-def parse(texts: list[bytes], length: int = LENGTH, gap: int = GAP) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of the texts: the text's number, the first and the last start, and the trigger's place, counted in the texts' concatenation."""
+def word_codes(text: bytes) -> bytes:
+    """WIDTH bytes for each word of a text; white space as for `SPACE_BYTES`."""
+    return b"".join(map(xxhash.xxh3_64_digest, text.split()))
+
+
+def parse(texts: list[bytes], length: int = LENGTH, gap: int = GAP, unit: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of the texts: the text's number, the first and the last start, and the trigger's place, counted in the texts' concatenation.
+
+    With a unit, starts and triggers are multiples of it; texts, length and gap must be such too.
+    """
     empty = np.zeros(0, np.int64)
     buf = np.frombuffer(b"".join(texts) + bytes(WIDTH), dtype=np.uint8)
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) // unit
     ends = np.cumsum(sizes)
     n = int(ends[-1]) if len(ends) else 0
+    length, gap = length // unit, gap // unit
     if n < length:
         return empty, empty, empty, empty
-    gram = np.lib.stride_tricks.sliding_window_view(buf, WIDTH)[:n].copy().view(np.uint64).ravel()
+    gram = np.lib.stride_tricks.sliding_window_view(buf, WIDTH)[: n * unit : unit].copy().view(np.uint64).ravel()
     gram = gram * np.uint64(0x9E3779B97F4A7C15)
     gram ^= gram >> np.uint64(32)
     gram *= np.uint64(0xD6E8FEB86659FD93)
@@ -84,16 +99,16 @@ def parse(texts: list[bytes], length: int = LENGTH, gap: int = GAP) -> tuple[np.
         return empty, empty, empty, empty
     # a run ends before the next one's start, or with the last string of its text
     last = np.minimum(np.append(np.flatnonzero(change)[1:], len(trigger))[np.searchsorted(np.flatnonzero(change), first)] - 1, ends[doc[first]] - length)
-    return doc[first], first, last, trigger[first]
+    return doc[first], first * unit, last * unit, trigger[first] * unit
 
 
-def run_rows(texts: list[bytes], length: int = LENGTH, gap: int = GAP) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def run_rows(texts: list[bytes], length: int = LENGTH, gap: int = GAP, unit: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of each run: its text's number, the hash of what follows the trigger, the hash of the whole, and its place packed."""
-    doc, first, last, trigger = parse(texts, length, gap)
+    doc, first, last, trigger = parse(texts, length, gap, unit)
     if not len(doc):
         return doc, doc, doc, doc
     whole = b"".join(texts)
-    right = length - gap + 1
+    right = length - gap + unit
     hashed = xxhash.xxh3_64_intdigest
     a, b, t = first.tolist(), last.tolist(), trigger.tolist()
     place = np.fromiter((hashed(whole[x : x + right], 1) for x in t), np.uint64, len(t))
@@ -108,8 +123,8 @@ def unpack_place(at):
     return at >> 16, at >> 8 & 0xFF, at & 0xFF
 
 
-def repeated_starts(runs: list[bytes], ahead: np.ndarray, span: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """For each run (row) and start within it (column), whether its string occurs more than once among the runs.
+def repeated_starts(runs: list[bytes], ahead: np.ndarray, span: np.ndarray, length: int = LENGTH, unit: int = 1) -> np.ndarray:
+    """For each run (row) and start within it (column, in units), whether its string occurs more than once among the runs.
 
     runs: the bytes from the first start to the last string's end; ahead: the trigger's distance from the
     first start; span: the last start's.
@@ -117,11 +132,11 @@ def repeated_starts(runs: list[bytes], ahead: np.ndarray, span: np.ndarray, leng
     n = len(runs)
     phrase = ahead + WIDTH
     widest = int(phrase.max())
-    out = np.zeros((n, int(span.max()) + 1), dtype=bool)
+    out = np.zeros((n, int(span.max()) // unit + 1), dtype=bool)
     # what follows the phrases, sorted, and the shared prefix of neighbours; 0 is the end, so bytes count from 1
     most = int((span - ahead + length - WIDTH).max())
     follow = np.zeros((n, most), dtype=np.uint8)
-    before = np.zeros((n, widest), dtype=np.uint16)
+    before = np.zeros((n, widest), dtype=np.uint8)
     for i, r in enumerate(runs):
         v = np.frombuffer(r, dtype=np.uint8)
         p = int(phrase[i])
@@ -131,13 +146,15 @@ def repeated_starts(runs: list[bytes], ahead: np.ndarray, span: np.ndarray, leng
     shifted = np.where(np.arange(most) < sizes[:, None], follow.astype(np.uint16) + 1, 0).astype(">u2")
     order = np.argsort(np.ascontiguousarray(shifted).view(f"S{2 * most}").ravel(), kind="stable") if (shifted == 256).any() else np.argsort(np.ascontiguousarray(shifted.astype(np.uint8)).view(f"S{most}").ravel(), kind="stable")
     before, phrase, ahead, span = before[order], phrase[order], ahead[order], span[order]
+    if unit > 1:
+        before = np.unique(before.view(np.uint64), return_inverse=True)[1].reshape(n, -1)
     unequal = shifted[order[1:]] != shifted[order[:-1]]
     shared = np.where(unequal.any(axis=1), unequal.argmax(axis=1), most)
     rank = np.zeros(n, np.int64)
-    for m in range(1, widest + 1):
-        # rank of the phrases' suffixes of m bytes: by the first byte, then by the rank of the others
+    for m in range(unit, widest + 1, unit):
+        # rank of the phrases' suffixes of m bytes: by the first byte (or unit), then by the rank of the others
         long_enough = np.flatnonzero(phrase >= m)
-        _, r = np.unique(before[long_enough, widest - m].astype(np.int64) << 32 | rank[long_enough], return_inverse=True)
+        _, r = np.unique(before[long_enough, (widest - m) // unit].astype(np.int64) << 32 | rank[long_enough], return_inverse=True)
         rank[long_enough] = r
         mine = np.flatnonzero((phrase >= m) & (phrase - span <= m))
         if len(mine) < 2:
@@ -145,7 +162,7 @@ def repeated_starts(runs: list[bytes], ahead: np.ndarray, span: np.ndarray, leng
         segment = np.concatenate(([0], np.cumsum(shared < length - m)))
         _, group, count = np.unique(rank[mine] << 32 | segment[mine], return_inverse=True, return_counts=True)
         hit = mine[count[group] > 1]
-        out[order[hit], phrase[hit] - m] = True
+        out[order[hit], (phrase[hit] - m) // unit] = True
     return out
 
 
@@ -166,21 +183,27 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, kinds[k]) for c, (_, k) in zip(cols, fields)], names=[n for n, _ in fields])
 
 
-def _runs(keyed: DataFrame, length: int, gap: int) -> DataFrame:
+def coded(text: bytes, unit: int) -> bytes:
+    """What is parsed: the bytes of a text, or the codes of its words."""
+    return text if unit == 1 else word_codes(text)
+
+
+def _runs(keyed: DataFrame, length: int, gap: int, unit: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settle()
         for b in batches:
             x, y = b.column(0).to_numpy(), b.column(1).to_numpy()
             done = 0
-            for chunk in in_chunks((t.as_py() for t in b.column(2)), CHUNK):
-                doc, place, own, at = run_rows(chunk, length, gap)
+            for chunk in in_chunks((coded(t.as_py(), unit) for t in b.column(2)), CHUNK):
+                doc, place, own, at = run_rows(chunk, length, gap, unit)
                 yield pa.record_batch([pa.array(place), pa.array(own), pa.array(x[done + doc]), pa.array(y[done + doc]), pa.array(at)], names=["place", "own", "x", "y", "at"])
                 done += len(chunk)
 
-    return keyed.select("x", "y", "t").where(F.length("t") >= length).mapInArrow(rows, RUN)
+    least = length if unit == 1 else 2 * (length // unit) - 1  # a word has a byte or more, and one follows it
+    return keyed.select("x", "y", "t").where(F.length("t") >= least).mapInArrow(rows, RUN)
 
 
-def _bytes_of(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+def _bytes_of(keyed: DataFrame, wanted: DataFrame, length: int, unit: int) -> DataFrame:
     """wanted (place, x, y, at, single, hot) with the bytes of the runs; the wanted runs of a text go to it together, once however many copies it has."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +211,7 @@ def _bytes_of(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         for b in batches:
             rows = []
             for x, y, text, runs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
-                text = text.as_py()
+                text = coded(text.as_py(), unit)
                 for r in runs.as_py():
                     lo, _, span = unpack_place(r["at"])
                     rows.append((r["place"], x, y, r["at"], r["single"], r["hot"], text[lo : lo + span + length]))
@@ -202,7 +225,7 @@ def _bytes_of(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return keyed.join(lists, ["x", "y"]).select("x", "y", "t", "runs").dropDuplicates(["x", "y"]).mapInArrow(read, WITH_BYTES)
 
 
-def _sorted_places(runs: DataFrame, length: int) -> DataFrame:
+def _sorted_places(runs: DataFrame, length: int, unit: int) -> DataFrame:
     """Of the runs that come together by place, the starts of single runs that are repeated: (x, y, s, e)."""
     schema = "x long, y long, s long, e long"
 
@@ -214,9 +237,9 @@ def _sorted_places(runs: DataFrame, length: int) -> DataFrame:
         def flush(table: pa.Table):
             at = table.column("at").to_numpy()
             lo, ahead, span = unpack_place(at)
-            flags = repeated_starts(table.column("run").to_pylist(), ahead, span, length)
+            flags = repeated_starts(table.column("run").to_pylist(), ahead, span, length, unit)
             x, y, single = table.column("x").to_numpy(), table.column("y").to_numpy(), table.column("single").to_pylist()
-            return _batch([(x[i], y[i], lo[i] + a, lo[i] + b) for i in np.flatnonzero(flags.any(axis=1)).tolist() if single[i] for a, b in spans_of(flags[i])], schema)
+            return _batch([(x[i], y[i], lo[i] + a * unit, lo[i] + b * unit) for i in np.flatnonzero(flags.any(axis=1)).tolist() if single[i] for a, b in spans_of(flags[i])], schema)
 
         for b in batches:
             held.append(pa.Table.from_batches([b]))
@@ -240,14 +263,14 @@ def _sorted_places(runs: DataFrame, length: int) -> DataFrame:
     return placed.select("place", "x", "y", "at", "single", "run").mapInArrow(search, schema)
 
 
-def part_run(run: bytes, at: int, length: int, cell: int) -> list[tuple[int, int, int, bytes]]:
+def part_run(run: bytes, at: int, length: int, cell: int, unit: int = 1) -> list[tuple[int, int, int, bytes]]:
     """A run parted by cells: (place, hash of the whole, packed place, bytes) of each part."""
     lo, ahead, span = unpack_place(at)
     far, near = ahead + WIDTH, ahead + WIDTH - span  # bytes from its first and its last start to the trigger's end
     out = []
     for c in range(near // cell, far // cell + 1):
-        first, last = min(far, (c + 1) * cell - 1), max(near, c * cell)
-        shared = run[far - c * cell : far + length - (c + 1) * cell + 1]
+        first, last = min(far, (c + 1) * cell - unit), max(near, c * cell)
+        shared = run[far - c * cell : far + length - (c + 1) * cell + unit]
         part = run[far - first : far - last + length]
         place = xxhash.xxh3_64_intdigest(shared, c << 8 | cell)
         own = xxhash.xxh3_64_intdigest(part, first << 8 | first - last)
@@ -255,7 +278,7 @@ def part_run(run: bytes, at: int, length: int, cell: int) -> list[tuple[int, int
     return out
 
 
-def _parted(hot: DataFrame, length: int, cell: int) -> DataFrame:
+def _parted(hot: DataFrame, length: int, cell: int, unit: int) -> DataFrame:
     """The parts of the runs of large places: place, own, x, y, at, n (2 for a run that is repeated already) and run."""
     schema = "place long, own long, x long, y long, at long, n long, run binary"
 
@@ -263,7 +286,7 @@ def _parted(hot: DataFrame, length: int, cell: int) -> DataFrame:
         for b in batches:
             for k in range(0, b.num_rows, 500):
                 cols = (c.to_pylist() for c in b.slice(k, 500).columns)
-                yield _batch([(place, own, x, y, part_at, 1 if single else 2, part) for x, y, at, single, run in zip(*cols) for place, own, part_at, part in part_run(run, at, length, cell)], schema)
+                yield _batch([(place, own, x, y, part_at, 1 if single else 2, part) for x, y, at, single, run in zip(*cols) for place, own, part_at, part in part_run(run, at, length, cell, unit)], schema)
 
     return hot.select("x", "y", "at", "single", "run").mapInArrow(rows, schema)
 
@@ -279,36 +302,44 @@ def _undecided(classes: DataFrame, large: int) -> DataFrame:
     return classes.join(places, "place").select("place", "one.*", (F.col("n") == 1).alias("single"), (F.col("runs") > large).alias("hot"))
 
 
-def repeated(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = LENGTH, gap: int = GAP, large: int = LARGE) -> DataFrame:
+def repeated(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = LENGTH, gap: int = GAP, large: int = LARGE, unit: int = 1) -> DataFrame:
     """Rows (x, y, spans): for each text with repeated strings, the stretches of their starts, first and last.
 
+    With unit WIDTH all this is about the codes of the words; starts that follow one another are a unit apart.
+
     x and y are 128 bits of hashes of a row's id (null told apart) and text. Rows that agree on both are copies
     of one another and have the same spans.
     """
     keyed = with_key(docs, text, id_col)
-    runs = _runs(keyed, length, gap)
+    runs = _runs(keyed, length, gap, unit)
     often = cut(runs.groupBy("place").count().where("count > 1").select("place"), "passages-often")  # a join of written tables can part a skewed key
     found = cut(runs.join(often, "place"), "passages-runs")
     classes = found.groupBy("place", "own").agg(F.count("*").alias("n"), F.min(F.struct("x", "y", "at")).alias("one"))
     classes = cut(classes, "passages-classes")
     spans = found.join(classes.where("n > 1").select("place", "own"), ["place", "own"]).select("x", "y", *_ends())
-    with_bytes = cut(_bytes_of(keyed, _undecided(classes, large), length), "passages-bytes")
-    spans = spans.unionByName(_sorted_places(with_bytes.where("not hot"), length))
-    for cell in CELLS:
+    with_bytes = cut(_bytes_of(keyed, _undecided(classes, large), length, unit), "passages-bytes")
+    spans = spans.unionByName(_sorted_places(with_bytes.where("not hot"), length, unit))
+    for cell in CELLS if unit == 1 else WORD_CELLS:
         hot = with_bytes.where("hot")
         if hot.isEmpty():
             break
-        parts = cut(_parted(hot, length, cell), "passages-parts")
+        parts = cut(_parted(hot, length, cell, unit), "passages-parts")
         classes = parts.groupBy("place", "own").agg(F.sum("n").alias("n"), F.min(F.struct("x", "y", "at", "run")).alias("one"))
         again = classes.where("n > 1").select("place", "own")
         spans = spans.unionByName(parts.where("n = 1").join(again, ["place", "own"]).select("x", "y", *_ends()))
-        if cell == 1:
+        if cell == unit:
             break  # a place holds one string only
         with_bytes = cut(_undecided(classes, large), "passages-bytes")
-        spans = spans.unionByName(_sorted_places(with_bytes.where("not hot"), length))
+        spans = spans.unionByName(_sorted_places(with_bytes.where("not hot"), length, unit))
     return spans.groupBy("x", "y").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
 
+def repeated_words(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = PASSAGE_WORDS, large: int = LARGE) -> DataFrame:
+    """repeated() for sequences of so many words: rows (x, y, spans), counted in bytes of the words' codes."""
+    gap = min(31, -(-3 * words // 5))  # a run's extents are stored in a byte each
+    return repeated(docs, text, id_col, words * WIDTH, gap * WIDTH, large, WIDTH)
+
+
 def with_key(docs: DataFrame, text: str, id_col: str) -> DataFrame:
     """x, y and t (the text as bytes, null as empty)."""
     return docs.select(*row_key(text, id_col), _bytes(text).alias("t"))
@@ -388,6 +419,36 @@ def digest(docs: DataFrame, length: int = LENGTH, **limits) -> DataFrame:
     return got.select("row.doc_id", "passages.n_bytes", "passages.n_removed", "passages.n_spans", F.sha2("passages.kept", 256).alias("kept_sha256"))
 
 
+def counted_column(spans: Column, words: int = PASSAGE_WORDS) -> Column:
+    """The number of stretches that repeated sequences of words cover, and of the words in them."""
+
+    @F.pandas_udf("n_passages long, n_passage_words long")
+    def count(lists: pd.Series) -> pd.DataFrame:
+        rows = []
+        for sp in lists:
+            got = stretches([(x["s"], x["e"]) for x in sp] if sp is not None else [], words * WIDTH)
+            rows.append((len(got), sum(end - begin for begin, end in got) // WIDTH))
+        return pd.DataFrame(rows, columns=["n_passages", "n_passage_words"])
+
+    return count(spans)
+
+
+def digest_with_passages(docs: DataFrame, words: int = PASSAGE_WORDS, large: int = LARGE) -> DataFrame:
+    """digest's columns, n_passages and n_passage_words: the stretches of words, and the words in them, that are covered
+    by sequences of so many words (parted by ASCII white space) which also start anywhere else, in any document or the same one.
+
+    Such a passage may be shorter than LENGTH bytes, so it stays in what is kept unless a longer string covers
+    it. Odd rows as for dedup; a text of fewer words has no passage.
+    """
+    docs = docs.select("doc_id", "text")
+    spans = repeated(docs, large=large)
+    passages = repeated_words(docs, words=words, large=large).withColumnRenamed("spans", "sequences")
+    rows = docs.select("doc_id", *row_key("text", "doc_id"), _bytes("text").alias("t"))
+    got = rows.join(spans, ["x", "y"], "left").join(passages, ["x", "y"], "left")
+    got = got.select("doc_id", cut_column(F.col("t"), F.col("spans")).alias("cut"), counted_column(F.col("sequences"), words).alias("found"))
+    return got.select("doc_id", "cut.n_bytes", "cut.n_removed", "cut.n_spans", F.sha2("cut.kept", 256).alias("kept_sha256"), "found.*")
+
+
 def without_repeats(docs: DataFrame, text: str = "text", **limits) -> DataFrame:
     """docs with repeated passages cut from the text, which stays null where it is null; a character that the cut parts goes whole.
 

@@ -143,6 +143,54 @@ def test_repeats_match_brute_force(spark, length, gap, large):
     assert Counter(map(tuple, got)) == brute(rows, length)
 
 
+def brute_words(rows, words):
+    """rows: (doc_id, text). Counts (doc_id, stretches that repeated sequences of words cover, words in them)."""
+    texts = [re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode()) for _, t in rows]
+    count = Counter(tuple(t[i : i + words]) for t in texts for i in range(len(t) - words + 1))
+    out = Counter()
+    for (doc_id, _), t in zip(rows, texts):
+        cover = [any(count[tuple(t[i : i + words])] > 1 for i in range(max(0, k - words + 1), min(k, len(t) - words) + 1)) for k in range(len(t))]
+        out[doc_id, sum(c and not (k and cover[k - 1]) for k, c in enumerate(cover)), sum(cover)] += 1
+    return out
+
+
+@pytest.mark.parametrize(("size", "large"), [(51, 1000), (51, 2), (6, 1000), (6, 2)])
+def test_passages_of_words_match_brute_force(spark, size, large):
+    r = random.Random(size)
+    shared = [words(300 + i, r.randint(size // 2, 2 * size)).split() for i in range(8)] + [["a"] * 2 * size, ["a", "b"] * size]
+    rows = []
+    for i in range(70):
+        t = []
+        for _ in range(r.randint(0, 5)):
+            p = r.choice(shared)
+            t += words(r.randint(1, 10**6), r.randint(0, 40)).split() if r.random() < 0.5 else p[r.randint(0, 3) : len(p) - r.randint(0, 3)]
+        rows.append((i if i % 11 else None, "".join(w + r.choice([" ", " ", "\n", " \t"]) for w in t)))
+    rows += [(90, None), (91, ""), (5, rows[5][1]), (5, rows[5][1]), (92, "é " * size), (93, "é\x1c " * (size + 3))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix_dedup.digest_with_passages(df, words=size, large=large).collect()
+    assert Counter((g["doc_id"], g["n_passages"], g["n_passage_words"]) for g in got) == brute_words(rows, size)
+    assert Counter(tuple(g)[:5] for g in got) == brute(rows, 400)
+
+
+def test_query_reports_passages_of_over_fifty_words(spark, tmp_path):
+    """51 words have fewer bytes than the strings that are cut."""
+    from lumenmap.llm import queries
+
+    passage, short = words(50, 51), words(51, 50)
+    rows = [(i, f"{words(i, 60)} {passage if i % 2 else short} {words(90 + i, 60)}", "en", "s", 1) for i in range(6)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op2_suffix_array_dedup(spark, str(tmp_path)).collect()
+    assert len(passage) < 400 and all(g["n_removed"] == 0 for g in got)
+    assert {g["doc_id"]: (g["n_passages"], g["n_passage_words"]) for g in got} == {i: (1, 51) if i % 2 else (0, 0) for i in range(6)}
+
+
+def test_passages_on_odd_rows(docs, clashing, no_docs, odd_rows):
+    for d in (docs, clashing):
+        got = suffix_dedup.digest_with_passages(d).collect()
+        assert Counter((g["doc_id"], g["n_passages"], g["n_passage_words"]) for g in got) == brute_words([r[:2] for r in odd_rows], 51)
+    assert suffix_dedup.digest_with_passages(no_docs).count() == 0
+
+
 def test_parts_of_a_large_place(spark):
     """Many runs around one passage, with little and with much in common beside it."""
     r = random.Random(8)
