@@ -262,15 +262,19 @@ def links(prints: DataFrame, radius: int = RADIUS, large: int = LARGE_GROUP) ->
     return found.distinct()
 
 
-def components(prints: DataFrame, id_col: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """Rows (id, fp) to rows (id, fp, component_id, root): the least id that links connect a row with, itself included, and the least fingerprint."""
+def classes(prints: DataFrame, id_col: str = "doc_id", radius: int = RADIUS) -> DataFrame:
+    """Rows (id, fp) to one row (fp, root, component_id) of each fingerprint: the least fingerprint and the least id that links connect it with."""
     named = prints.groupBy("fp").agg(F.min(id_col).alias("least_id"))
     named = cut(named, "simhash-prints")
     stars = connect(links(named.select("fp"), radius), "simhash-links")
     root = named.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("least", "fp").alias("root"), "least_id")
     owner = cut(root.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash-owners")  # a join of written tables can part a skewed key
-    class_of = root.join(owner, "root").select("fp", "root", "component_id")
-    return prints.join(class_of, "fp").select(id_col, "fp", F.coalesce("component_id", F.col(id_col)).alias("component_id"), "root")
+    return root.join(owner, "root").select("fp", "root", "component_id")
+
+
+def components(prints: DataFrame, id_col: str = "doc_id", radius: int = RADIUS) -> DataFrame:
+    """Rows (id, fp) to rows (id, fp, component_id, root): the least id that links connect a row with, itself included, and the least fingerprint."""
+    return prints.join(classes(prints, id_col, radius), "fp").select(id_col, "fp", F.coalesce("component_id", F.col(id_col)).alias("component_id"), "root")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, words: int = SHINGLE) -> DataFrame:
@@ -291,14 +295,22 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, words: int = SHINGLE) -> Dat
     Rows with a null doc_id stay, as they can't be told apart. Rows that share an id are documents of their own:
     of those in one component one stays, others are kept with their own component. Of rows that agree in id and
     text one stays. Other columns stay as they are, whatever their names; an empty table gives an empty one.
+    The rows that stay are found by keys alone and written; where these are few, as Spark's size check has it, no text is shuffled.
     """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    known = docs.where(F.col("doc_id").isNotNull())
     h = [F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit(""))), F.xxhash64(F.lit(1), F.col("doc_id"), F.coalesce("text", F.lit("")))]
     prints = docs.select("doc_id", fingerprint_column(words=words).alias("fp"), h[0].alias("x"), h[1].alias("y"))
     prints = cut(prints, "simhash")
-    classes = components(prints.select("doc_id", "fp"), radius=radius).select("fp", "root").distinct()
-    first = prints.where("doc_id is not null").join(classes, "fp").groupBy("root").agg(F.min(F.struct("doc_id", "fp", "x", "y")).alias("m"))
-    kept = known.select(row, h[0].alias("x"), h[1].alias("y")).join(first.select("m.x", "m.y"), ["x", "y"], "left_semi")
+    counted = prints.where("doc_id is not null").groupBy("fp", "doc_id", "x", "y").agg(F.count("*").alias("n"))
+    least = counted.groupBy("fp").agg(F.min(F.struct("doc_id", "x", "y", "n")).alias("m"))  # so the join has one row of a fingerprint
+    least = least.join(classes(prints.select("doc_id", "fp"), radius=radius), "fp")
+    first = least.groupBy("root").agg(F.min(F.struct("m.doc_id", "fp", "m.x", "m.y", "m.n")).alias("m"))
+    first = cut(first.select("m.x", "m.y", "m.n"), "simhash-first")
     names = [F.col(f"row.`{c}`") for c in docs.columns]
-    return kept.dropDuplicates(["x", "y"]).select(*names).unionByName(docs.where(F.col("doc_id").isNull()))
+    known = docs.where(F.col("doc_id").isNotNull()).select(row, h[0].alias("x"), h[1].alias("y"))
+    kept = known.join(first.where("n = 1").select("x", "y"), ["x", "y"], "left_semi").select(*names)
+    repeated = first.where("n > 1").select("x", "y")
+    if not repeated.isEmpty():
+        again = known.join(repeated, ["x", "y"], "left_semi").dropDuplicates(["x", "y"])
+        kept = kept.unionByName(again.select(*names))
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))

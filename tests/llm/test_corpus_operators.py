@@ -414,6 +414,20 @@ def test_rows_that_share_an_id_are_kept_by_text(spark):
     assert got == Counter([(1, words(1, 60)), (1, words(2, 60)), (None, words(1, 60))])
 
 
+def test_near_duplicate_stage_shuffles_no_text_for_few_rows(spark, tmp_path):
+    """Forty copies of a table, as a session with Spark's own 200 partitions has them: a task that opened a file for each of these filled the heap."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "200")
+    rows = [(i + 20 * k, words(i, 60 + i), "en", "s", 1) for i in range(20) for k in range(40)] + [(900, words(99, 80), "en", "s", 1)] * 3
+    session.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    out = pipeline.near_duplicate_stage(session, session.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert sorted(r["doc_id"] for r in out.collect()) == [*range(20), 900]
+    assert int(session.conf.get("spark.sql.shuffle.partitions")) > 200
+    once = simhash.keep_one(session.read.parquet(f"{tmp_path}/documents.parquet").where("doc_id < 900"))
+    assert "hashpartitioning" not in once._jdf.queryExecution().executedPlan().toString()
+
+
 def test_passage_stage_takes_more_than_fifty_words(spark, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     passage = words(50, 55)
